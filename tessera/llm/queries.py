@@ -7,6 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.shared import table
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    from tessera.llm.packing import pack, tokenise
+
+    return pack(tokenise(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents, encoded by the 50k ranks and decoded again."""
     import public_tokenizers
@@ -18,6 +27,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
