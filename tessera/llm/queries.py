@@ -26,9 +26,17 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked at a Jaccard similarity of 0.85 on 3-word shingles."""
+    from tessera.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLES: dict[str, str] = {}
