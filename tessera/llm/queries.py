@@ -7,6 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.shared import table
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that 100-byte strings seen earlier cover."""
+    from tessera.llm.suffix_dedup import removal_digests
+
+    return removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     import public_tokenizers
@@ -34,6 +41,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_minhash": op10_minhash,
