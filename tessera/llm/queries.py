@@ -3,10 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.llm import line_dedup, quality_rules, url_filter
 from tessera.llm.shared import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the divergence verdict of every document."""
+    from tessera.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten or more sources show, but for their first place."""
+    from tessera.llm.line_dedup import remove_boilerplate
+
+    out = remove_boilerplate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes that 100-byte strings seen earlier cover."""
     from tessera.llm.suffix_dedup import removal_digests
@@ -14,6 +31,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and template verdict of every page's url."""
+    from tessera.llm.url_filter import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     import public_tokenizers
@@ -41,10 +65,17 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_url_filter": op5_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_minhash": op10_minhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules.oracle(),
+    "op2_line_dedup": f"SELECT doc_id, n_lines, n_removed, sha256(text) AS kept_sha256 FROM ({line_dedup.oracle()})",
+    "op5_url_filter": url_filter.oracle(),
+}
