@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import line_dedup, quality_rules, url_filter
+from tessera.llm import line_dedup, quality_rules, url_filter, warc
 from tessera.llm.shared import table
 
 
@@ -24,6 +24,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record in the deduplicated archives."""
+    from tessera.llm.warc import resolved_pages
+
+    return resolved_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes that 100-byte strings seen earlier cover."""
     from tessera.llm.suffix_dedup import removal_digests
@@ -47,6 +54,14 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(tokenise(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    from tessera.llm.ann import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter(F.pmod(F.col("vec_id"), F.lit(100)) == 0))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents, encoded by the 50k ranks and decoded again."""
     import public_tokenizers
@@ -67,9 +82,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
+    "op3_warc_revisits": op3_warc_revisits,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_nearest": op7_nearest,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_minhash": op10_minhash,
 }
@@ -77,5 +94,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle(),
     "op2_line_dedup": f"SELECT doc_id, n_lines, n_removed, sha256(text) AS kept_sha256 FROM ({line_dedup.oracle()})",
+    "op3_warc_revisits": warc.oracle(),
     "op5_url_filter": url_filter.oracle(),
 }
