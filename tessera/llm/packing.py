@@ -10,6 +10,7 @@ bins. At the end the pieces of the loosest bin of every partition meet in one mo
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,42 +26,54 @@ CAPACITY = 2048
 #: Pieces of one partition of the packing.
 PARTITION_PIECES = 100_000
 EXCHANGE_ROUNDS = 3
-#: Distinct chunks that a worker remembers the ids of.
-REMEMBERED = 400_000
+#: Distinct chunks that a worker remembers the ids of, in each of two generations.
+REMEMBERED = 700_000
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
 _LOADED: dict = {}
+#: Bytes as the characters that byte-level vocabularies show them by: visible ones as they are.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 class ChunkIds(dict):
-    """ids of white-space-free chunks, by the tokenizer on the first sight of each.
+    """Packed ids of white-space-free chunks of UTF-8, by the tokenizer on the first sight of each.
 
     The tokenizer drops white space and no token, composition or lower-casing reaches across an
-    ASCII space, so a text's ids are its chunks' ids in a row. A full stop or comma after a letter
-    is a token of its own, which keeps one entry for a word in both positions.
+    ASCII space, so a text's ids are its chunks' ids in a row. A full stop or comma between a
+    letter and white space is a token of its own and becomes a chunk; ASCII letters are lower-cased
+    first, unless a special token could come of it. Words of Latin letters alone are one pre-token,
+    composed already, and go straight to the merges. When the young generation is full it becomes the old one, so
+    frequent chunks stay and memory is bounded.
     """
 
     def __init__(self, tokenizer, limit: int):
         super().__init__()
-        self.encode = lambda s: tuple(tokenizer.encode(s, add_special_tokens=False).ids)
-        self.limit = limit
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isascii() and chunk[-2].isalpha():
-            ids = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            ids = self.encode(chunk) if chunk else ()
+        self.encode = lambda s: np.array(tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+        self.merge = tokenizer.model.tokenize
+        self.limit, self.old = limit, {}
+
+    def packed(self, text: bytes) -> bytes:
+        if b"<|" not in text:
+            text = text.lower()
+        return b"".join(map(self.__getitem__, _STOP.sub(rb" \1", text).split()))
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            word = chunk.decode()
+            if word.isalpha() and max(word) < "\u0130":
+                shown = word.lower().encode().decode("latin-1").translate(_SHOWN)
+                ids = b"".join([t.id.to_bytes(4, "little") for t in self.merge(shown)])
+            else:
+                ids = self.encode(word)
         if len(chunk) <= 64:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
 
 
-def text_ids(text: str, known: ChunkIds) -> list[int]:
-    if "\n" in text:
-        text = text.replace("\n", " ")
-    return [i for ids in map(known.__getitem__, text.split(" ")) for i in ids]
-
-
 def tokenise(
     docs: DataFrame,
     tokenizer_file: str,
@@ -78,6 +91,8 @@ def tokenise(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     )
 
+    end = np.array([end_id], "<u4").tobytes()
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer_file not in _LOADED:
             from tokenizers import Tokenizer
@@ -86,13 +101,11 @@ def tokenise(
         known = _LOADED[tokenizer_file]
         for batch in batches:
             rows = []
-            for ident, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = text_ids(text or "", known)
-                ids.append(end_id)
-                packed = np.array(ids, "<u4").tobytes()
-                for k, s in enumerate(range(0, len(ids), capacity)):
-                    part = packed[4 * s : 4 * (s + capacity)]
-                    rows.append((ident, k, s, len(part) // 4, zlib.crc32(part)))
+            for ident, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                packed = known.packed(text or b"") + end
+                for k, s in enumerate(range(0, len(packed), 4 * capacity)):
+                    part = packed[s : s + 4 * capacity]
+                    rows.append((ident, k, s // 4, len(part) // 4, zlib.crc32(part)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
