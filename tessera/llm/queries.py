@@ -72,6 +72,13 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of every document."""
+    from tessera.llm.quality_classifier import classify
+
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "score", "kept")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked at a Jaccard similarity of 0.85 on 3-word shingles."""
     from tessera.llm.near_dedup import near_duplicates
@@ -88,6 +95,7 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_nearest": op7_nearest,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash": op10_minhash,
 }
 
