@@ -195,7 +195,7 @@ def exists_any(resource: str, where: Expr | None = None) -> Exists:
     return Exists((), where, resource)
 
 
-def call(name: str, *args, **options) -> Call:
+def call(name: str, /, *args, **options) -> Call:
     return Call(name, tuple(map(wrap, args)), tuple(options.items()))
 
 

@@ -10,9 +10,6 @@ from tessera.expr import conjuncts, ref
 from tessera.operators.paginate import after
 from tessera.plans.scope import _ASC, Scope, every, sort_keys
 
-ORDER = "__order__"
-
-
 def _rows(source: Scope, relationship: str, query) -> tuple[Scope, list[str], str]:
     """Related rows joined to the parents' keys: scope, the parents' key columns, the order's column."""
     rel = source.relationship(source.resource, relationship)
@@ -29,7 +26,8 @@ def _rows(source: Scope, relationship: str, query) -> tuple[Scope, list[str], st
     key = source.resource.row_key()
     own = [source.name(k) for k in key]
     needed = sorted({*own, *[a for a, _ in found.keys]} | {c for c in source.df.columns if found.conditions})
-    marks = [f"__source_{k}" for k in key]
+    marks = [f"{source.engine.alias()}_s" for _ in key]
+    place = f"{source.engine.alias()}_o"
     parents = source.df.select(*needed).distinct()
     sorts = sort_keys(query.sorts or rel.sort)
     order = [(child.column(k), way) for k, way in sorts] or [(F.col(child.name(k)), "asc") for k in child.resource.row_key()]
@@ -39,16 +37,16 @@ def _rows(source: Scope, relationship: str, query) -> tuple[Scope, list[str], st
     if query.cursor is not None:
         df = df.filter(after(order, query.cursor))
     window = Window.partitionBy(*marks).orderBy(*[_ASC[way](c) for c, way in order])
-    df = df.withColumn(ORDER, F.row_number().over(window))
+    df = df.withColumn(place, F.row_number().over(window))
     skip, limit = query.skip, query.limit_to
     if rel.no_attributes:
         skip, limit = rel.offset + skip, 1 if rel.from_many else limit if limit is not None else rel.limit
     if limit is not None:
-        df = df.filter(F.col(ORDER) <= skip + limit)
+        df = df.filter(F.col(place) <= skip + limit)
     if skip:
-        df = df.filter(F.col(ORDER) > skip)
+        df = df.filter(F.col(place) > skip)
     child.df = df
-    return child, marks, ORDER
+    return child, marks, place
 
 
 def load_related(query, relationship: str, of=None) -> DataFrame:
@@ -65,7 +63,8 @@ def load_related(query, relationship: str, of=None) -> DataFrame:
         raise PlanError("a load's query has no combinations and no distinct")
     child, marks, order = _rows(source, relationship, of)
     names = [*of.names(), *[n for n, _ in of.calculations + of.aggregates]]
-    return child.df.select(*marks, *[child.column(ref(n)).alias(n) for n in names], order)
+    sources = [F.col(m).alias(f"__source_{k}") for m, k in zip(marks, source.resource.row_key(), strict=True)]
+    return child.df.select(*sources, *[child.column(ref(n)).alias(n) for n in names], F.col(order).alias("__order__"))
 
 
 def load_lists(scope: Scope, loads) -> None:

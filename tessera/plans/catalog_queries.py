@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.expr import agg, arg, call, cond, exists, exists_any, fragment, if_, map_of, parent, ref
 from tessera.operators.load import load_related
+from tessera.operators.mutate import bulk_create, destroy_query, update_many, update_query, upsert
 from tessera.plans.catalog import query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,16 +17,18 @@ ORACLES: dict[str, str] = {}
 
 
 def _add(name: str, resource: str, build, sql: str, rounded: str = "", **values) -> None:
-    """rounded: columns of float sums, whose last digits depend on the order of addition."""
+    """rounded: columns of float sums and averages (with :places), whose last digits depend on the
+    order of addition."""
+    places = [(c.partition(":")[0], int(c.partition(":")[2] or 4)) for c in rounded.split()]
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         out = build(query(spark, folder, resource, **values))
         out = out if isinstance(out, DataFrame) else out.to_df()
-        return out.withColumns({c: F.round(c, 4) for c in rounded.split()}) if rounded else out
+        return out.withColumns({c: F.round(c, n) for c, n in places}) if places else out
 
     run.__name__ = name
-    if rounded:
-        sql = f"SELECT * REPLACE ({', '.join(f'round({c}, 4) AS {c}' for c in rounded.split())}) FROM ({sql})"
+    if places:
+        sql = f"SELECT * REPLACE ({', '.join(f'round({c}, {n}) AS {c}' for c, n in places)}) FROM ({sql})"
     QUERIES[name], ORACLES[name] = run, sql
 
 
@@ -171,7 +174,7 @@ _add(
     "agg_count_sum_avg_min_max", "customer",
     lambda q: q.aggregate(n=agg("count", "orders"), s=agg("sum", "orders", "o_totalprice"), a=agg("avg", "orders", "o_totalprice"), lo=agg("min", "orders", "o_totalprice"), hi=agg("max", "orders", "o_totalprice")).select("c_custkey"),
     "SELECT c_custkey, count(o_orderkey) AS n, sum(o_totalprice) AS s, avg(o_totalprice) AS a, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey",
-    rounded="s a",
+    rounded="s a:8",
 )
 _add(
     "agg_default", "customer", lambda q: q.aggregate(s=agg("sum", "orders", "o_totalprice", where=ref("o_totalprice") > 350000, default=0.0)).select("c_custkey"),
@@ -389,3 +392,53 @@ _add(
     "vector_l2_topk", "embedding", lambda q: q.calculate(d=call("round", call("vector_l2_distance", ref("embedding"), _probe), places=9)).sort("d", "vec_id").limit(10).select("vec_id"),
     f"SELECT vec_id, round(list_distance(embedding::DOUBLE[], {_literal}), 9) AS d FROM embeddings ORDER BY d, vec_id LIMIT 10",
 )
+
+
+def _loaded(q, resource: str) -> DataFrame:
+    return query_of(q, resource).to_df()
+
+
+def _incoming(q) -> DataFrame:
+    """Customers to merge: every third one with another balance, and as many new ones."""
+    rows = _loaded(q, "customer").filter("c_custkey % 3 = 0")
+    old = rows.withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    return old.unionByName(rows.withColumn("c_custkey", F.col("c_custkey") + 1000000))
+
+
+def _upserted(q):
+    return upsert(q.engine, "customer", _incoming(q), fields=("c_acctbal",), condition=lambda old, new: old("c_acctbal") > 0)
+
+
+_S = "SELECT c_custkey, c_acctbal + CASE WHEN c_custkey % 3 = 0 AND c_acctbal > 0 THEN 1 ELSE 0 END AS c_acctbal FROM customer"
+_add(
+    "merge_upsert", "customer", lambda q: _upserted(q).rows.select("c_custkey", "c_acctbal"),
+    f"{_S} UNION ALL SELECT c_custkey + 1000000, c_acctbal FROM customer WHERE c_custkey % 3 = 0",
+)
+_add(
+    "merge_actions", "customer", lambda q: _upserted(q).changed.select("c_custkey", "_action"),
+    """SELECT c_custkey, 'update' AS _action FROM customer WHERE c_custkey % 3 = 0 AND c_acctbal > 0
+    UNION ALL SELECT c_custkey + 1000000, 'insert' FROM customer WHERE c_custkey % 3 = 0""",
+)
+_add(
+    "bulk_create", "region",
+    lambda q: bulk_create(q.engine, "region", _loaded(q, "region").select((F.col("r_regionkey") + 100).alias("r_regionkey")), {"r_name": call("concat", "region ", call("type", ref("r_regionkey"), to="string"))}).rows,
+    "SELECT r_regionkey, r_name FROM region UNION ALL SELECT r_regionkey + 100, 'region ' || (r_regionkey + 100) FROM region",
+)
+_add(
+    "update_many_presence", "customer",
+    lambda q: update_many(q.engine, "customer", _loaded(q, "customer").filter("c_custkey % 5 = 0").select("c_custkey", F.lit(None).cast("string").alias("c_name"), (F.col("c_acctbal") * 2).alias("c_acctbal"), (F.col("c_custkey") % 2 == 0).alias("has_name")), {"c_name": "has_name"}).rows.select("c_custkey", "c_name", "c_acctbal"),
+    """SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END AS c_name, CASE WHEN c_custkey % 5 = 0 THEN c_acctbal * 2 ELSE c_acctbal END AS c_acctbal FROM customer""",
+)
+_add(
+    "update_query", "order", lambda q: update_query(q.filter(ref("o_orderstatus") == "F"), {"o_totalprice": ref("o_totalprice") - 1, "o_orderpriority": ref("customer.c_mktsegment")}).rows.select("o_orderkey", "o_totalprice", "o_orderpriority"),
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice - 1 ELSE o_totalprice END AS o_totalprice,
+    CASE WHEN o_orderstatus = 'F' THEN c_mktsegment ELSE o_orderpriority END AS o_orderpriority FROM orders LEFT JOIN customer ON c_custkey = o_custkey""",
+)
+_add(
+    "update_limited", "customer", lambda q: update_query(q.filter(exists("orders")).sort("-c_acctbal", "c_custkey").limit(10), {"c_acctbal": ref("c_acctbal") - 100}).changed.select("c_custkey", "c_acctbal"),
+    "SELECT c_custkey, c_acctbal - 100 AS c_acctbal FROM (SELECT * FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) ORDER BY c_acctbal DESC, c_custkey LIMIT 10)",
+)
+_add(
+    "destroy_query", "customer", lambda q: destroy_query(q.filter(~exists("orders", ref("o_orderstatus") == "F"))).rows.select("c_custkey"),
+    "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')",
+)

@@ -76,4 +76,5 @@ class Engine:
         from tessera.plans.scope import Scope
 
         scope = Scope.bare(self)
-        return scope.df.select(scope.column(expression).alias("value")).first()["value"]
+        column = scope.column(expression).alias("value")
+        return scope.df.select(column).first()["value"]
