@@ -17,6 +17,7 @@ MIN_SITES = 10
 SKETCH_BITS = 12
 #: Share of the threshold within which the estimate isn't trusted: six standard errors of a sketch of 12 bits.
 BAND = 0.1
+_ROW = ("_r", "_s")
 
 
 def _lines(text: Column) -> Column:
@@ -24,11 +25,11 @@ def _lines(text: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, id_col: str, site_col: str, text_col: str) -> DataFrame:
-    """Every line with a visible character: _row, _at, _site and its hash _a, _b."""
-    lines = docs.select("_row", F.col(id_col).alias("_id"), F.col(site_col).cast("string").alias("_site"), F.posexplode(_lines(F.col(text_col))).alias("_at", "_line"))
+    """Every line with a visible character: its row's key, id and site, its place, its hash _a, _b."""
+    lines = docs.select(*_ROW, F.col(id_col).alias("_id"), F.col(site_col).cast("string").alias("_site"), F.posexplode(_lines(F.col(text_col))).alias("_at", "_line"))
     trimmed = F.btrim("_line", F.lit(WHITESPACE))
     return lines.filter(trimmed != "").select(
-        "_row", "_id", "_at", "_site", F.xxhash64(trimmed).alias("_a"), F.xxhash64(F.lit(1), trimmed).alias("_b")
+        *_ROW, "_id", "_at", "_site", F.xxhash64(trimmed).alias("_a"), F.xxhash64(F.lit(1), trimmed).alias("_b")
     )
 
 
@@ -41,7 +42,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, band: float = BAND
         .filter((F.col("n") >= min_sites) & ((F.col("low") < F.col("high")) | F.lit(min_sites < 2)))
         .select(*key)
     )
-    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_at").alias("at"))
+    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_r").alias("r"), F.col("_s").alias("s"), F.col("_at").alias("at"))
     spread = (
         lines.join(often, key, "left_semi")
         .groupBy(*key)
@@ -72,20 +73,28 @@ def remove_boilerplate(
     """All rows and columns, the text without boilerplate lines, and n_lines and n_removed.
 
     Lines count without white space at their ends; blank lines always stay. With keep_first the
-    occurrence of the smallest id (of rows sharing it, the one read first; null ids come last)
-    stays, so that no content leaves the corpus. Null texts stay null; null sites don't count as
+    occurrence of the smallest id (null ids come last; of different texts of one id, one of them)
+    stays, so that no content leaves the corpus. Rows that repeat an id and text fare alike. Null texts stay null; null sites don't count as
     a site, though lines of such rows are removed like others. A column named n_lines or n_removed
     is replaced. An empty table stays empty.
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    rows = docs.select(*[F.col(c) for c in columns], F.monotonically_increasing_id().alias("_row"))
+    clash = {c: f"_own{c}" for c in columns if c in (*_ROW, "_gone")}
+    docs = docs.withColumnsRenamed(clash)
+    back = {v: k for k, v in clash.items()}
+    columns = [clash.get(c, c) for c in columns]
+    # a key by content: the same in every branch of the plan and after a lost executor
+    held = [F.col(id_col), F.col(text_col)]
+    keys = [F.xxhash64(*held).alias("_r"), F.xxhash64(F.lit(1), *held).alias("_s")]
+    rows = docs.select(*[F.col(c) for c in columns], *keys)
     lines = occurrences(rows, id_col, site_col, text_col)
     found = boilerplate(lines, min_sites)
     hits = lines.join(found, ["_a", "_b"])
     if keep_first:
-        hits = hits.filter((F.col("_row") != F.col("first.row")) | (F.col("_at") != F.col("first.at")))
-    gone = hits.groupBy("_row").agg(F.collect_set("_at").alias("_gone"))
-    joined = rows.join(gone, "_row", "left")
+        first = (F.col("_r") == F.col("first.r")) & (F.col("_s") == F.col("first.s")) & (F.col("_at") == F.col("first.at"))
+        hits = hits.filter(~first)
+    gone = hits.groupBy(*_ROW).agg(F.collect_set("_at").alias("_gone"))
+    joined = rows.join(gone, list(_ROW), "left")
     left = let(
         _lines(F.col(text_col)),
         lambda x: F.array_join(
@@ -95,7 +104,7 @@ def remove_boilerplate(
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left)
     visible = F.filter(_lines(F.col(text_col)), lambda x: F.btrim(x, F.lit(WHITESPACE)) != "")
     return joined.select(
-        *[(text if c == text_col else F.col(c)).alias(c) for c in columns],
+        *[(text if c == text_col else F.col(c)).alias(back.get(c, c)) for c in columns],
         F.size(visible).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
