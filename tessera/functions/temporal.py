@@ -20,6 +20,7 @@ def _shift(moment: Column, sign: int, amount=None, unit: str = "day", **units) -
 
 
 FUNCTIONS = {
+    "duration": lambda **u: interval(**u),
     "ago": lambda amount=None, unit="day", **u: _shift(F.current_timestamp(), -1, amount, unit, **u),
     "from_now": lambda amount=None, unit="day", **u: _shift(F.current_timestamp(), 1, amount, unit, **u),
     "datetime_add": lambda at, amount=None, unit="day", **u: _shift(at, 1, amount, unit, **u),

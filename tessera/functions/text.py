@@ -24,7 +24,54 @@ def split(value: Column, separator: str = " ", trim: bool = False) -> Column:
     )
 
 
+def tokens(value: Column) -> Column:
+    """Distinct lower-cased words."""
+    return F.array_distinct(F.filter(F.split(F.lower(value), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+
+
+def text_match(value: Column, query: str = "") -> Column:
+    """Whether the words of a text meet a query of words with &, |, ! and parentheses. No ranking."""
+    import re
+
+    have = tokens(value)
+    parts = re.findall(r"[&|!()]|[^\s&|!()]+", query.lower())
+
+    def either(at: int) -> tuple[Column, int]:
+        left, at = both(at)
+        while at < len(parts) and parts[at] == "|":
+            right, at = both(at + 1)
+            left = left | right
+        return left, at
+
+    def both(at: int) -> tuple[Column, int]:
+        left, at = one(at)
+        while at < len(parts) and parts[at] == "&":
+            right, at = one(at + 1)
+            left = left & right
+        return left, at
+
+    def one(at: int) -> tuple[Column, int]:
+        if at >= len(parts) or parts[at] in "&|)":
+            raise ValueError(f"{query!r} is no text query")
+        if parts[at] == "!":
+            inner, at = one(at + 1)
+            return ~inner, at
+        if parts[at] == "(":
+            inner, at = either(at + 1)
+            if at >= len(parts) or parts[at] != ")":
+                raise ValueError(f"{query!r} lacks a parenthesis")
+            return inner, at + 1
+        return F.array_contains(have, parts[at]), at + 1
+
+    found, end = either(0)
+    if end != len(parts):
+        raise ValueError(f"{query!r} is no text query")
+    return found
+
+
 FUNCTIONS = {
+    "text_tokens": tokens,
+    "text_match": text_match,
     "contains": lambda a, b: a.contains(b),
     "starts_with": lambda a, b: F.startswith(a, b),
     "ends_with": lambda a, b: F.endswith(a, b),

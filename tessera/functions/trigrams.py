@@ -21,4 +21,17 @@ def similarity(a: Column, b: Column) -> Column:
     return F.coalesce(both / F.nullif(F.size(F.array_union(x, y)), F.lit(0)), F.when(a.isNotNull() & b.isNotNull(), F.lit(0.0)))
 
 
-FUNCTIONS = {"trigram_similarity": similarity}
+def word_similarity(a: Column, b: Column) -> Column:
+    """The greatest similarity of a's trigrams and any run of b's, which are few: both are short."""
+    x, y = trigrams(a), trigrams(b)
+
+    def against(i: Column) -> Column:
+        ends = F.sequence(i, F.size(y))
+        alike = lambda j: F.size(F.array_intersect(x, F.slice(y, i, j - i + 1))) / F.size(F.array_union(x, F.slice(y, i, j - i + 1)))
+        return F.array_max(F.transform(ends, alike))
+
+    found = F.array_max(F.transform(F.sequence(F.lit(1), F.size(y)), against))
+    return F.when((F.size(x) == 0) | (F.size(y) == 0), F.when(a.isNotNull() & b.isNotNull(), F.lit(0.0))).otherwise(found)
+
+
+FUNCTIONS = {"trigram_similarity": similarity, "trigram_word_similarity": word_similarity}

@@ -67,6 +67,28 @@ def load_related(query, relationship: str, of=None) -> DataFrame:
     return child.df.select(*sources, *[child.column(ref(n)).alias(n) for n in names], F.col(order).alias("__order__"))
 
 
+def summarise_related(query, relationship: str, of=None, **aggregates) -> DataFrame:
+    """Aggregates over each parent's related rows, the load's limit respected; parents without rows too."""
+    from tessera.plans.query import Query
+    from tessera.plans.scope import _reduce
+
+    source = query.scope()
+    rel = source.relationship(source.resource, relationship)
+    child, marks, _ = _rows(source, relationship, of or Query(query.engine, rel.destination))
+    parts = []
+    for name, a in aggregates.items():
+        condition = every([child.column(c) for c in conjuncts(a.where)])
+        value = child.column(a.field) if a.field is not None else None
+        parts.append(_reduce(child, a, value, condition, marks).alias(name))
+    found = child.df.groupBy(*marks).agg(*parts)
+    key = source.resource.row_key()
+    on = every([F.col(source.name(k)).eqNullSafe(F.col(m)) for k, m in zip(key, marks, strict=True)])
+    empty = {n: {"count": F.lit(0), "exists": F.lit(False)}.get(a.kind, F.lit(a.default)) for n, a in aggregates.items()}
+    return source.df.join(found, on, "left").select(
+        *[F.col(source.name(k)).alias(f"__source_{k}") for k in key], *[F.coalesce(F.col(n), e).alias(n) for n, e in empty.items()]
+    )
+
+
 def load_lists(scope: Scope, loads) -> None:
     """Adds each load as a list of structs; nothing related: an empty one."""
     for relationship, of in loads:

@@ -75,6 +75,13 @@ def bulk_create(engine: Engine, name: str, given: DataFrame, atomics: Mapping[st
     return Change(table.unionByName(fresh.drop(ORDINAL)), fresh.withColumn(ACTION, F.lit("insert")))
 
 
+def create(engine: Engine, name: str, **values) -> Change:
+    """One row; values may be expressions."""
+    plain = {k: v for k, v in values.items() if not isinstance(v, Expr)}
+    one = engine.spark.range(1).select(*[F.lit(v).alias(k) for k, v in plain.items()], *([] if plain else [F.lit(1).alias("_")]))
+    return bulk_create(engine, name, one if plain else one.drop("_"), {k: v for k, v in values.items() if isinstance(v, Expr)})
+
+
 def _identity(resource: Resource, identity: str | None) -> Identity:
     if identity is None:
         if not resource.primary_key:

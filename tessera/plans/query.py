@@ -75,6 +75,13 @@ class Query:
         """Keyset pagination: only rows behind these values of the sort keys."""
         return replace(self, cursor=values)
 
+    def lock(self, mode: str = "for update") -> Query:
+        """Row locks have no meaning here: versions of a store keep writers apart. Known modes are
+        accepted and change nothing."""
+        if mode.lower().removesuffix(" nowait").removesuffix(" skip locked") not in ("for update", "for no key update", "for share", "for key share"):
+            raise PlanError(f"no lock {mode}")
+        return self
+
     def union(self, other: Query) -> Query:
         return self._combined("union", other)
 

@@ -152,7 +152,11 @@ class Scope:
                 conditions.append(rel.manual(lambda a: F.col(self.name(a)), lambda a: F.col(child.name(a))))
             elif rel.through:
                 join_name, source_key, destination_key = rel.through
-                between = Scope.of(engine, engine.domain[join_name], self)
+                if rel.join_relationship:
+                    # the join relationship's filter, sort and limit hold for each source row
+                    between = self.related(self.relationship(self.resource, rel.join_relationship)).scope
+                else:
+                    between = Scope.of(engine, engine.domain[join_name], self)
                 child.df = child.df.join(between.df, F.col(child.name(rel.destination_attribute)) == F.col(between.name(destination_key)))
                 keys = [(self.name(rel.source_attribute), between.name(source_key))]
                 child.joined[("$" + join_name,)] = (between.resource, between.alias)
@@ -261,6 +265,8 @@ class Scope:
             return self.flag(e)
         if isinstance(e, Agg):
             return self.aggregate([e])[0]
+        if isinstance(e, Call) and e.name == "binding":
+            return F.struct(*[F.col(self.name(a.name)).alias(a.name) for a in self.resource.attributes])
         if isinstance(e, Call):
             if e.name not in FUNCTIONS:
                 raise PlanError(f"no function {e.name}")

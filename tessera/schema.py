@@ -29,7 +29,8 @@ class Attribute:
 class Relationship:
     """kind: belongs_to, has_one, has_many, many_to_many.
 
-    through: a join resource with its two keys for many_to_many. path: relationships that are
+    through: a join resource with its two keys for many_to_many; join_relationship: the relationship
+    to it whose filter, sort and limit hold first. path: relationships that are
     followed one after the other. no_attributes: only the filter relates the rows. manual: a
     function of both sides' column lookups that gives the join condition.
     """
@@ -40,6 +41,7 @@ class Relationship:
     source_attribute: str = "id"
     destination_attribute: str = "id"
     through: tuple[str, str, str] | None = None
+    join_relationship: str | None = None
     path: tuple[str, ...] = ()
     filter: Expr | None = None
     sort: tuple = ()

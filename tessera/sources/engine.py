@@ -66,7 +66,10 @@ class Engine:
         df = self.repos[resource.repo](name, prefix)
         if resource.tenant_by == "attribute":
             df = df.filter(F.col(resource.tenant_attribute) == F.lit(self.tenant))
-        return df.select(*[F.col(a.source or a.name).alias(f"{alias}_{a.name}") for a in resource.attributes])
+        stored = lambda a: F.col(a.source or a.name)
+        # case-insensitive strings carry their collation, so that all comparisons follow it
+        own = lambda a: F.collate(stored(a), "UTF8_LCASE") if a.type == "ci_string" else stored(a)
+        return df.select(*[own(a).alias(f"{alias}_{a.name}") for a in resource.attributes])
 
     def alias(self) -> str:
         return f"t{next(_aliases)}"

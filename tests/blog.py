@@ -25,6 +25,8 @@ DOMAIN = Domain(
                 R("comments", "has_many", "comment", "id", "post_id"),
                 R("popular", "has_many", "comment", "id", "post_id", filter=ref("likes") > 1),
                 R("linked", "many_to_many", "post", "id", "id", through=("link", "source", "target")),
+                R("first_link", "has_many", "link", "id", "source", sort=("-target",), limit=1),
+                R("last_linked", "many_to_many", "post", "id", "id", through=("link", "source", "target"), join_relationship="first_link"),
                 R("higher", "has_many", "post", no_attributes=True, filter=ref("score") > parent("score")),
             ),
             calculations=(Calculation("negative_score", -ref("score")), Calculation("busy", exists("comments"))),

@@ -4,7 +4,7 @@ import pytest
 
 from tessera.errors import PlanError
 from tessera.expr import Agg, Lazy, actor, agg, call, cond, context, exists, fragment, map_of, parent, ref
-from tessera.operators.load import load_related
+from tessera.operators.load import load_related, summarise_related
 from tessera.plans.query import Query
 from tessera.schema import Attribute, Resource
 from tests.blog import engine, ids, query
@@ -259,3 +259,53 @@ def test_limit_comes_before_late_aggregates(spark):
     assert plan.select("n").first()["n"] == 3
 
 
+
+
+def test_case_insensitive_strings(spark):
+    q = query(spark, "post")
+    assert sorted(ids(q.filter(ref("category") == "NEWS").to_df())) == [1, 2]
+    assert sorted(ids(q.filter(call("contains", ref("category"), "EW")).to_df())) == [1, 2]
+    assert q.filter(~ref("category").is_nil()).distinct("category").to_df().count() == 2
+
+
+def test_many_to_many_through_a_limited_join(spark):
+    q = query(spark, "post")
+    rows = load_related(q, "last_linked", Query(q.engine, "post").select("id")).collect()
+    assert sorted((r["__source_id"], r["id"]) for r in rows) == [(1, 3), (2, 3)]
+
+
+def test_aggregates_of_limited_loads(spark):
+    q = query(spark, "post")
+    out = summarise_related(q, "comments", Query(q.engine, "comment").sort("id").limit(2), n=agg("count"), likes=agg("sum", of="likes"))
+    assert {r["__source_id"]: (r["n"], r["likes"]) for r in out.collect()} == {1: (2, 5), 2: (2, 7), 3: (0, None), 4: (0, None)}
+
+
+def test_more_functions(spark):
+    assert value(spark, call("trigram_word_similarity", "word", "two words")) == 0.8
+    assert value(spark, call("text_match", "A quick fox, a dog", query="fox & (cat | dog) & !bird")) is True
+    assert value(spark, call("text_match", "A quick fox", query="fox & cat")) is False
+    with pytest.raises(ValueError, match="no text query"):
+        value(spark, call("text_match", "x", query="a &"))
+    later = call("type", "2024-01-31 00:00:00", to="timestamp") + call("duration", months=1, hours=1)
+    assert str(value(spark, later)) == "2024-02-29 01:00:00"
+    row = query(spark, "post").filter(ref("id") == 1).calculate(b=fragment("to_json(?)", call("binding"))).select("id").to_df().first()
+    assert '"title":"alpha"' in row["b"]
+
+
+def test_locks_are_accepted(spark):
+    assert query(spark, "post").lock("for update nowait").to_df().count() == 4
+    with pytest.raises(PlanError):
+        query(spark, "post").lock("for fun")
+
+
+def test_types(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.types import enum_from_storage, enum_to_storage, spark_type
+
+    assert spark_type("array<integer>") == "array<bigint>" and spark_type("decimal(9,2)") == "decimal(9,2)"
+    with pytest.raises(PlanError):
+        spark_type("nothing")
+    codes = {"open": 0, "closed": 1}
+    row = spark.range(1).select(enum_to_storage(F.lit("closed"), codes).alias("a"), enum_from_storage(F.lit(0), codes).alias("b")).first()
+    assert (row["a"], row["b"]) == (1, "open")

@@ -4,7 +4,7 @@ import pytest
 
 from tessera.errors import ConstraintError, PlanError, StaleRecord
 from tessera.expr import agg, call, exists, ref
-from tessera.operators.mutate import bulk_create, cascade, destroy, destroy_query, in_input_order, update, update_many, update_query, upsert
+from tessera.operators.mutate import bulk_create, cascade, create, destroy, destroy_query, in_input_order, update, update_many, update_query, upsert
 from tessera.schema import Domain
 from tessera.sources.engine import Engine
 from tessera.sources.introspect import diff, infer, sensitive, with_reverse
@@ -107,3 +107,20 @@ def test_inference(spark):
     assert {r.name: r.kind for r in found["post"].relationships} == {"post_tags": "has_many", "tags": "many_to_many"}
     assert sensitive("user_password") and not sensitive("spinach")
     assert diff(make("a int, b int").schema, make("a long, c int").schema) == [("add", "c", "int"), ("alter", "a", "int", "bigint"), ("remove", "b")]
+
+
+def test_create_one(spark):
+    done = create(engine(spark), "post", id=9, title=call("concat", "a", "b"))
+    assert [(r["id"], r["title"]) for r in done.changed.collect()] == [(9, "ab")]
+
+
+def test_stream_of_upserts(spark, tmp_path):
+    from tessera.streaming.upserts import upsert_stream
+
+    store = VersionedStore(spark, f"file://{tmp_path}/store")
+    store.write("t", spark.createDataFrame([(1, "a")], "id long, name string"))
+    e = Engine(spark, Domain((infer("t", "t", store.read("t"), ("id",)),)), {"default": store.loader()})
+    spark.createDataFrame([(1, "b"), (2, "c")], "id long, name string").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id long, name string").parquet(f"{tmp_path}/in")
+    assert upsert_stream(stream, e, store, "t", f"{tmp_path}/checkpoint").awaitTermination(120)
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "b"), (2, "c")]
