@@ -106,6 +106,13 @@ def put(folder: str, name: str, content: bytes) -> None:
     fs.move(part, f"{path}/{name}")
 
 
+def get(folder: str, name: str) -> bytes:
+    """A file of the shared folder."""
+    fs, path = pafs.FileSystem.from_uri(folder)
+    with fs.open_input_stream(f"{path}/{name}", compression=None) as file:
+        return file.read()
+
+
 _WRITTEN = pa.schema([("file", pa.string()), ("records", pa.int64())])
 
 
@@ -184,15 +191,18 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame
     return found.select("file", "at", F.col("response.page_id").alias("to_page"), F.col("response.url").alias("to_url"))
 
 
-def rewrite_archives(spark: SparkSession, folder: str, revisits: DataFrame, target: str) -> DataFrame:
-    """Writes each archive anew, revisits without their payload; returns (file, records)."""
+def rewrite_archives(files: DataFrame, folder: str, revisits: DataFrame, target: str) -> DataFrame:
+    """Writes each archive anew, revisits without their payload; returns (file, records).
+
+    Only names and decisions are shuffled: a task reads its archives from the shared folder.
+    """
 
-    def run(content: pa.Table, changes: pa.Table) -> pa.Table:
+    def run(names: pa.Table, changes: pa.Table) -> pa.Table:
         to = {r["at"]: r for r in changes.to_pylist()}
-        files, counts = [], []
-        for file, whole in zip(content.column("file").to_pylist(), content.column("content").to_pylist(), strict=True):
+        done, counts = [], []
+        for file in names.column("file").to_pylist():
             out = []
-            for at, _, raw in members(whole):
+            for at, _, raw in members(get(folder, file)):
                 fields, size, payload = parse(raw)
                 page, url, digest = page_of(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), digest_of(fields)
                 if at not in to:
@@ -203,11 +213,11 @@ def rewrite_archives(spark: SparkSession, folder: str, revisits: DataFrame, targ
                     more["WARC-Refers-To-Target-URI"] = to[at]["to_url"]
                 out.append(record("revisit", page, url, digest, http_head(size), more))
             put(target, file, b"".join(out))
-            files.append(file)
+            done.append(file)
             counts.append(len(out))
-        return pa.table([pa.array(files, pa.string()), pa.array(counts, pa.int64())], schema=_WRITTEN)
+        return pa.table([pa.array(done, pa.string()), pa.array(counts, pa.int64())], schema=_WRITTEN)
 
-    both = _archives(spark, folder).groupBy("file").cogroup(revisits.groupBy("file"))
+    both = files.select("file").groupBy("file").cogroup(revisits.groupBy("file"))
     return write_table(both.applyInArrow(run, from_arrow_schema(_WRITTEN)), "rewritten")
 
 
@@ -219,10 +229,11 @@ def deduplicate(pages: DataFrame, **columns: str) -> tuple[str, DataFrame]:
     """
     spark = pages.sparkSession
     raw, target = scratch_path(spark, "warc"), scratch_path(spark, "warc-dedup")
-    if write_archives(pages, raw, **columns).isEmpty():
+    files = write_archives(pages, raw, **columns)
+    if files.isEmpty():
         return target, spark.createDataFrame([], from_arrow_schema(_HEADERS))
     headers = write_table(read_headers(spark, raw), "headers")
-    rewrite_archives(spark, raw, write_table(resolve(headers), "revisits"), target)
+    rewrite_archives(files, raw, write_table(resolve(headers), "revisits"), target)
     return target, read_headers(spark, target)
 
 
