@@ -4,16 +4,16 @@ Two small collections, A and B, of m combined minhashes each give m * m table ke
 2 * m * rows minhashes, where plain banding would compute m * m * 2 * rows. A pair that shares an
 A_i and a B_j shares a table. Documents with equal shingle sets are one node. In every table the
 members are linked to the smallest one; those candidates are confirmed on the full sets. Members
-of one table that are then still in different components are compared across components, so no
-candidate pair between two components goes unseen, while a bucket of n copies costs n checks and
+of one table that are then still in different components are linked to the member that has the
+fewest shingles of its own, and what is left is compared across components. A pair is left out
+only if its rare shingles in common and the frequent ones of either are too few for a link. So
+no link between two components goes unseen, while a bucket of n copies costs about n checks and
 not n squared.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from tessera.llm.graph import components
-from tessera.llm.shared import drop_table, write_table
+from tessera.llm.shared import by_slices, drop_table, let, write_table
 
 SHINGLE_WORDS = 3
 SIMILARITY = 85
 COLLECTIONS = 10
 ROWS = 3
+#: Shingles of at most so many documents are compared one by one where a bound is wanted; any number is exact.
+FEW_HOLDERS = 32
 
 _U = np.uint64
 
@@ -101,50 +103,87 @@ def _sketches(docs: DataFrame, size: int, collections: int, rows: int) -> DataFr
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sketch", pa.list_(pa.int64()))]
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, digests, found = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text, size)
-                counts.append(len(s))
-                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                found.append(sketch(s, collections, rows).view(np.int64))
-            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-            at = np.arange(0, len(flat) + 1, 2 * collections, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(at, pa.array(flat))],
-                schema=schema,
-            )
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts, digests, found = [], [], []
+        for text in batch.column(1).to_pylist():
+            s = shingle_set(text, size)
+            counts.append(len(s))
+            digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+            found.append(sketch(s, collections, rows).view(np.int64))
+        flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+        at = np.arange(0, len(flat) + 1, 2 * collections, dtype=np.int32)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(at, pa.array(flat))],
+            schema=schema,
+        )
 
-    return docs.mapInArrow(run, from_arrow_schema(schema))
+    return docs.mapInArrow(by_slices(run), from_arrow_schema(schema))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: int) -> DataFrame:
     """The pairs (u, v) whose full shingle sets are alike enough. texts: (node, text), a row each."""
     blob = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t, size).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], schema=blob)
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingle_set(t, size).tobytes() for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], schema=blob)
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("su"), batch.column("sv"), strict=True):
-                p, q = (np.frombuffer(s.as_buffer(), _U) for s in (x, y))
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= similarity * (len(p) + len(q) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+    def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y in zip(batch.column("su"), batch.column("sv"), strict=True):
+            p, q = (np.frombuffer(s.as_buffer(), _U) for s in (x, y))
+            both = len(np.intersect1d(p, q, assume_unique=True))
+            keep.append(100 * both >= similarity * (len(p) + len(q) - both))
+        return batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    found = write_table(texts.join(ends, "node", "left_semi").mapInArrow(sets, "node long, shingles binary"), "sets")
+    found = write_table(texts.join(ends, "node", "left_semi").mapInArrow(by_slices(sets), "node long, shingles binary"), "sets")
     pairs = pairs.join(found.toDF("u", "su"), "u").join(found.toDF("v", "sv"), "v")
-    out = write_table(pairs.mapInArrow(verify, "u long, v long"), "confirmed")
+    out = write_table(pairs.mapInArrow(by_slices(verify), "u long, v long"), "confirmed")
     drop_table(found)
     return out
 
 
+def _exploded(texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingle) of texts (node, text)."""
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingle_set(t, size).view(np.int64) for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return texts.mapInArrow(by_slices(sets), "node long, shingles array<long>").select("node", F.explode("shingles").alias("shingle"))
+
+
+def _own(texts: DataFrame, size: int) -> DataFrame:
+    """(node, own): how many of its shingles no other node has; nodes without any are left out."""
+    holders = _exploded(texts, size).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+    return holders.filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _held(texts: DataFrame, size: int, few: int = FEW_HOLDERS) -> DataFrame:
+    """(node, rare, often): its shingles that two to ``few`` nodes have, and how many more have."""
+    seen = write_table(_exploded(texts, size), "shingles")
+    holders = seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rare, often = F.collect_list(F.when(F.col("n") <= few, F.col("shingle"))), F.count(F.when(F.col("n") > few, 1))
+    some = seen.join(holders, "shingle").groupBy("node").agg(rare.alias("rare"), often.alias("often"))
+    every = texts.select("node").join(some, "node", "left")
+    return every.select("node", F.coalesce("rare", F.array().cast("array<long>")).alias("rare"), F.coalesce("often", F.lit(0)).alias("often"))
+
+
+def _joined(reached: DataFrame, links: DataFrame) -> DataFrame:
+    """The components once links (u, v) between their nodes are added."""
+    if links.isEmpty():
+        return reached
+    place = lambda x, to: reached.select(F.col("node").alias(x), F.col("component").alias(to))
+    ends = links.join(place("u", "cu"), "u", "left").join(place("v", "cv"), "v", "left")
+    merged = components(ends.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
+    merged = merged.withColumnRenamed("component", "to")
+    known = reached.join(merged.withColumnRenamed("node", "component"), "component", "left")
+    known = known.select("node", F.coalesce("to", "component").alias("component"))
+    fresh = merged.join(reached, "node", "left_anti").select("node", F.col("to").alias("component"))
+    return write_table(known.unionByName(fresh), "reached")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -167,7 +206,7 @@ def near_duplicates(
     seen = write_table(_sketches(docs, size, collections, rows), "sketches")
     full = seen.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    member = write_table(full.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).select("doc_id", "rep").distinct(), "members")
+    copies = write_table(full.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).select("doc_id", "rep").distinct(), "copies")
     nodes = write_table(
         full.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "n_shingles", "doc_id"])
         .dropDuplicates(["digest", "n_shingles"])
@@ -192,33 +231,59 @@ def near_duplicates(
     star = write_table(tables.filter("node <> low").select(F.col("low").alias("u"), F.col("node").alias("v")).distinct(), "star")
     links = _confirmed(star, texts, size, similarity)
     # ids that occur with several texts join those texts' classes
-    ties = member.filter("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
+    ties = copies.filter("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
     reached = components(links.unionByName(ties))
 
-    # second round: candidate pairs between components
-    placed = tables.join(reached.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("main"), F.max("c").alias("top")).filter("main < top").select("key", "main")
-    open_ = write_table(placed.join(mixed, "key").select("key", "node", "n_shingles", "c", "main"), "open")
-    side = lambda p: [F.col(c).alias(p + c) for c in ("node", "n_shingles", "c")]
-    a = open_.filter("c <> main").select("key", "main", *side("a_"))
-    b = open_.select("key", *side("b_"))
-    alike = (100 * F.least("a_n_shingles", "b_n_shingles")) >= (similarity * F.greatest("a_n_shingles", "b_n_shingles"))
+    # what is left: candidate pairs between components. Each table key starts with a value of A, so
+    # candidates also meet at that value alone, in rows for m keys instead of m * m
+    def mixed(members: DataFrame, reached: DataFrame) -> DataFrame:
+        """Rows of keys with several components: key, node, ..., c, main; main: one of them."""
+        placed = members.join(reached.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
+        keys = placed.groupBy("key").agg(F.min("c").alias("main"), F.max("c").alias("top")).filter("main < top")
+        return placed.join(keys.select("key", "main"), "key")
+
+    open_ = write_table(mixed(tables.select("key", "node"), reached).select("node").distinct(), "open")
+    own = _own(texts.join(open_, "node", "left_semi").select("node", "text"), size)
+    shared = F.col("n_shingles") - F.coalesce("own", F.lit(0))
+    members = nodes.join(open_, "node", "left_semi").join(own, "node", "left").withColumn("common", shared)
+    members = members.select("node", "n_shingles", "common", "sketch", F.explode(F.sequence(F.lit(0), F.lit(collections - 1))).alias("i"))
+    members = write_table(members.withColumn("key", F.xxhash64("i", F.get("sketch", F.col("i")))), "members")
+    fields = ("node", "n_shingles", "common", "sketch", "c")
+    # their intersection is at most what either shares with anyone
+    enough = ((100 + similarity) * F.least("a_common", "b_common")) >= (similarity * (F.col("a_n_shingles") + F.col("b_n_shingles")))
+    pair = [F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")]
+    near = mixed(members.drop("sketch", "i"), reached)
+    hub = near.groupBy("key").agg(F.max(F.struct("common", "node", "n_shingles", "c")).alias("hub"))
+    hub = hub.select("key", *[F.col(f"hub.{x}").alias(f"a_{x}") for x in fields if x != "sketch"])
+    spokes = near.select("key", *[F.col(x).alias(f"b_{x}") for x in fields if x != "sketch"]).join(hub, "key")
+    spokes = spokes.filter(enough & (F.col("a_c") != F.col("b_c"))).select(*pair).distinct()
+    spokes = write_table(spokes.join(star, ["u", "v"], "left_anti"), "spokes")
+    reached = _joined(reached, _confirmed(spokes, texts, size, similarity))
+
+    still = write_table(mixed(members, reached), "open")
+    left = texts.join(still.select("node").distinct(), "node", "left_semi").select("node", "text")
+    still = write_table(still.drop("common").join(_held(left, size), "node", "left"), "open")
+    fields = ("node", "n_shingles", "sketch", "c", "rare", "often")
+    a = still.filter("c <> main").select("key", "main", "i", *[F.col(x).alias(f"a_{x}") for x in fields])
+    b = still.select("key", *[F.col(x).alias(f"b_{x}") for x in fields])
     apart = (F.col("a_c") != F.col("b_c")) & ((F.col("b_c") == F.col("main")) | (F.col("a_node") < F.col("b_node")))
-    across = (
-        a.join(b, (a["key"] == b["key"]) & alike & apart)
-        .select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v"))
-        .distinct()
-        .join(star, ["u", "v"], "left_anti")
+    # their intersection is at most the rare shingles that both have and the frequent ones of either
+    within = F.size(F.array_intersect("a_rare", "b_rare")) + F.least("a_often", "b_often")
+    within = ((100 + similarity) * within) >= (similarity * (F.col("a_n_shingles") + F.col("b_n_shingles")))
+    # only where they share a table, and only at the first value of A that they share: each pair once
+    equal = F.zip_with("a_sketch", "b_sketch", lambda x, y: x == y)
+    once = let(
+        equal,
+        lambda e: (F.array_position(F.slice(e, 1, collections), F.lit(True)) == F.col("i") + 1)
+        & F.array_contains(F.slice(e, collections + 1, collections), F.lit(True)),
     )
-    across = write_table(across, "across")
-    if not across.isEmpty():
-        more = _confirmed(across, texts, size, similarity)
-        if not more.isEmpty():
-            reached = components(links.unionByName(ties).unionByName(more))
-    for done in (tables, open_, across, star, nodes):
+    across = a.join(b, (a["key"] == b["key"]) & apart & once & within).select(*pair)
+    across = across.join(star.unionByName(spokes), ["u", "v"], "left_anti")
+    reached = _joined(reached, _confirmed(write_table(across, "across"), texts, size, similarity))
+    for done in (tables, open_, members, still, star, spokes, nodes):
         drop_table(done)
     place = (
-        member.join(reached.withColumnRenamed("node", "rep"), "rep", "left")
+        copies.join(reached.withColumnRenamed("node", "rep"), "rep", "left")
         .select("doc_id", F.coalesce("component", "rep").alias("component"))
         .groupBy("doc_id")
         .agg(F.min("component").alias("component"))

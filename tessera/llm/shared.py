@@ -88,6 +88,25 @@ def words_of(text: Column) -> Column:
     )
 
 
+def by_slices(work, rows: int = 1000):
+    """A function of one record batch as one of an iterator of them, a slice at a time.
+
+    What Arrow's pool has freed goes back to the system after each batch, so a worker that is used
+    again by later stages doesn't hold the peaks of earlier ones.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield work(batch.slice(at, rows))
+            del batch
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
