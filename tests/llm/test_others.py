@@ -74,6 +74,31 @@ def test_templates_learn_from_labels(spark):
     assert {r.template for r in got} == {"/spam/*/*", "/news/*/*"}
 
 
+@pytest.mark.parametrize("pages", [8, 12, 400, 3000])
+def test_labels_of_one_segment_judge_only_that_segment(spark, pages):
+    """One language of each host is labelled, the others and a rare one have no labels."""
+    hosts = {"a.example.com": "en", "b.example.net": "de", "c.example.org": "es"}
+    urls = [f"http://{h}/{lang}/{k}{end}" for h in hosts for lang in ("en", "de", "es", "fr") for k, end in [(100 + j, ".html" * (j % 3 == 0)) for j in range(pages)]]
+    urls += [f"http://{h}/it/{k}" for h in hosts for k in range(5)]
+    got = judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=(("com/en/", "block"), ("net/de/", "block"), ("org/es/", "block"))).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        assert r.verdict == ("block" if r.path.split("/")[1] == hosts[r.host] else "allow"), r
+
+
+def test_a_clean_branch_leaves_its_blocked_siblings(spark):
+    """Three labelled branches: two blocked ones merge, the clean one doesn't; an unlabelled one takes no verdict."""
+    urls = [f"http://s.com/{part}/{k}/" for part in ("spam", "pills", "news", "shop") for k in range(100, 200)]
+    rules = (("s.com/spam/11", "block"), ("s.com/spam/12", "block"), ("s.com/pills/1", "block"), ("s.com/news/1", "allow"))
+    got = judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=rules).collect()
+    verdicts = {(r.path.split("/")[1], r.verdict) for r in got}
+    assert verdicts == {("spam", "block"), ("pills", "block"), ("news", "allow"), ("shop", "allow")}
+    slugs = [f"http://s.com/spam/{a}{b}" for a in "abcdefgh" for b in "abcdefgh"] + [f"http://s.com/news/{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    rules = (*[(f"s.com/spam/{a}", "block") for a in "abcd"], *[(f"s.com/news/{a}", "allow") for a in "abcd"])
+    got = judge_urls(spark.createDataFrame(list(enumerate(slugs)), "page_id long, url string"), rules=rules).collect()
+    assert {(r.template, r.verdict) for r in got} == {("/spam/*/$", "block"), ("/news/*/$", "allow")}
+
+
 def test_hadamard_and_axes():
     x = np.random.default_rng(1).normal(size=(5, 8))
     assert np.allclose(np.linalg.norm(hadamard(x), axis=1), np.linalg.norm(x, axis=1)) and np.allclose(hadamard(hadamard(x)), x)
