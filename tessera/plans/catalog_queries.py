@@ -115,7 +115,7 @@ _add(
     WHERE rn <= 2 AND o_orderstatus = 'P' AND o_custkey IN (SELECT c_custkey FROM customer)""",
 )
 _add(
-    "join_theta", "customer", lambda q: q.filter(ref("c_custkey") <= 1500).aggregate(n=agg("count", "similar_balance")).select("c_custkey"),
+    "join_theta", "customer", lambda q: q.aggregate(n=agg("count", "similar_balance")).select("c_custkey"),
     """SELECT a.c_custkey, count(b.c_custkey) AS n FROM customer a LEFT JOIN customer b
     ON a.c_nationkey = b.c_nationkey AND b.c_acctbal > a.c_acctbal AND b.c_acctbal < a.c_acctbal + 100 WHERE a.c_custkey <= 1500 GROUP BY a.c_custkey""",
 )
