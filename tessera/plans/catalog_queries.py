@@ -156,7 +156,7 @@ _add(
      WHERE o_totalprice > 150000 OR (o_totalprice = 150000 AND o_orderkey > 0)) WHERE rn <= 2""",
 )
 _add(
-    "load_with_aggregate", "customer", lambda q: load_related(q.filter(ref("c_custkey") < 200), "orders", query_of(q, "order").aggregate(lines=agg("count", "lineitems")).sort("o_orderkey").select("o_orderkey")),
+    "load_with_aggregate", "customer", lambda q: load_related(q, "orders", query_of(q, "order").aggregate(lines=agg("count", "lineitems")).sort("o_orderkey").select("o_orderkey")),
     """SELECT o_custkey AS __source_c_custkey, o_orderkey, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines,
     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)::INT AS __order__ FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey < 200""",
 )
