@@ -3,7 +3,8 @@
 Three rounds of random signs and a Hadamard transform rotate a unit vector; its cell in a table is
 the signed axis nearest to the result. A query probes the cells of its nearest signed axes in
 every table. Candidates are ranked by exact distance where query and cell meet, and each meeting
-hands on only its nearest.
+hands on only its nearest. Queries that met too few candidates, and all of a length with few
+vectors, are then compared with every vector of their length, block by block.
 
 Of equal vectors only the smallest ids can be among the nearest, so no more copies than that are
 indexed, and equal queries are searched once. Cells with many vectors are split over salts.
@@ -26,6 +27,8 @@ ROTATIONS = 3
 SEED = 20240229
 #: Vectors of one cell and salt.
 CELL_VECTORS = 4096
+#: Lengths with at most so many vectors are searched exactly.
+FEW_VECTORS = 4096
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -92,6 +95,9 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each query, its own id excepted.
 
+    A query gets all candidates if there are fewer than k, and k otherwise. Up to FEW_VECTORS vectors
+    of a length the result is exact; beyond, cells go by direction and so find less where norms differ.
+
     queries has the same columns as vectors. Null and zero vectors, and those with a null or
     non-finite component, take no part; vectors meet only others of their length. Null ids take no
     part; rows that share an id and a vector count once. Ties go to the smaller id. Empty tables
@@ -142,6 +148,22 @@ def nearest(
 
     met = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(search, from_arrow_schema(found)).distinct()
     best = Window.partitionBy("qid").orderBy("score", "vec_id")
+    met = write_table(met.withColumn("_at", F.row_number().over(best)).filter(F.col("_at") <= k + 1).drop("_at"), "met")
+
+    # one more than k, as a query's own id can be among them
+    sizes = index.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
+    counts = met.groupBy("qid").agg(F.count(F.lit(1)).alias("n_met"))
+    short = probing.select("id", "vector", "dim").join(sizes, "dim").join(counts, F.col("id") == F.col("qid"), "left")
+    short = short.filter((F.col("n") <= FEW_VECTORS) | (F.coalesce("n_met", F.lit(0)) <= k)).select("id", "vector", "dim", "n")
+    short = write_table(short, "short")
+    parts = short.groupBy("dim").agg(*[F.ceil(c / F.lit(CELL_VECTORS)).cast("int").alias(a) for c, a in ((F.max("n"), "blocks"), (F.count(F.lit(1)), "parts"))])
+    dealt = lambda df, c, by: df.withColumn(c, F.pmod(F.xxhash64("id"), F.col(by)).cast("int"))
+    spread = lambda df, c, by: df.withColumn(c, F.explode(F.sequence(F.lit(0), F.col(by) - 1)))
+    key = ["dim", "block", "part"]
+    left = spread(dealt(index.select("id", "vector", "dim").join(parts, "dim"), "block", "blocks"), "part", "parts").select(*key, "id", "vector")
+    right = spread(dealt(short.join(parts, "dim"), "part", "parts"), "block", "blocks").select(*key, "id", "vector")
+    exact = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(search, from_arrow_schema(found))
+    met = met.join(short.select(F.col("id").alias("qid")), "qid", "left_anti").unionByName(exact)
     met = met.withColumn("_at", F.row_number().over(best)).filter(F.col("_at") <= k + 1).drop("_at")
     owner = asked.join(classes.select("vector", F.col("id").alias("qid")), "vector").select(F.col("id").alias("query_id"), "qid")
     rank = Window.partitionBy("query_id").orderBy("score", "vec_id")

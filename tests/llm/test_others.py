@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import queries
+from tessera.llm import ann, queries
 from tessera.llm.ann import hadamard, nearest, signed_axes
 from tessera.llm.quality_classifier import classify, label_model, votes
 from tessera.llm.quality_rules import quality_rules
@@ -137,6 +137,22 @@ def test_neighbours(spark):
     assert nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("few", "tables", "probes"), [(4096, 16, 8), (0, 1, 1)])
+def test_neighbours_are_complete(spark, monkeypatch, few, tables, probes):
+    """Small lengths are exact, whatever the norms; elsewhere no query has fewer than k while there are more."""
+    monkeypatch.setattr(ann, "FEW_VECTORS", few)
+    monkeypatch.setattr(ann, "CELL_VECTORS", 100)
+    r = np.random.default_rng(5)
+    items = [(1000 * dim + k, [float(x) for x in r.lognormal() * r.normal(size=dim)]) for dim, n in ((7, 5), (8, 8), (9, 11), (10, 15), (16, 400)) for k in range(n)]
+    df = spark.createDataFrame(items, "vec_id long, embedding array<double>")
+    got: dict = {}
+    for x in nearest(df, df, tables=tables, probes=probes).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append(x.vec_id)
+    want = brute_nearest(items, items, 10)
+    assert {q: len(found) for q, found in got.items()} == {q: len(near) for q, near in want.items()}
+    assert all(got[q] == want[q] for q in want if few or q < 10000)
+
+
 def brute_rules(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
