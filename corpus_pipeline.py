@@ -8,7 +8,7 @@ length of the text that is left.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.line_dedup import remove_boilerplate
@@ -34,9 +34,21 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each group of near duplicates."""
-    gone = near_duplicates(docs, **NEAR).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One document, the one of the smallest id, of each group of near duplicates.
+
+    Of rows that share that id and have words the one of the smallest text stays.
+    """
+    near = near_duplicates(docs, **NEAR)
+    some = near.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id", "kept").agg(F.count(F.lit(1)).alias("n"))
+    gone = write_table(some.filter("NOT kept OR n > 1").select(F.col("doc_id").alias("id"), "kept"), "gone")
+    wordy = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    out = docs.join(gone, (F.col("doc_id") == F.col("id")) & wordy, "left_anti").select(*COLUMNS)
+    again = gone.filter("kept")
+    if again.isEmpty():
+        return out
+    rows = docs.filter(wordy).join(again, F.col("doc_id") == F.col("id"), "left_semi")
+    first = Window.partitionBy("doc_id").orderBy("text", "lang", "source")
+    return out.unionByName(rows.withColumn("_at", F.row_number().over(first)).filter("_at = 1").select(*COLUMNS))
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,7 +100,7 @@ def sketch(shingles: np.ndarray, collections: int, rows: int) -> np.ndarray:
 
 def _sketches(docs: DataFrame, size: int, collections: int, rows: int) -> DataFrame:
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sketch", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sketch", pa.list_(pa.int64())), ("mark", pa.int64())]
     )
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -113,7 +113,7 @@ def _sketches(docs: DataFrame, size: int, collections: int, rows: int) -> DataFr
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
         at = np.arange(0, len(flat) + 1, 2 * collections, dtype=np.int32)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(at, pa.array(flat))],
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(at, pa.array(flat)), batch.column(2)],
             schema=schema,
         )
 
@@ -203,16 +203,13 @@ def near_duplicates(
     0.9 with 4e-6.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = docs.withColumn("mark", F.xxhash64("text"))
     seen = write_table(_sketches(docs, size, collections, rows), "sketches")
     full = seen.filter("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    copies = write_table(full.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"]).select("doc_id", "rep").distinct(), "copies")
-    nodes = write_table(
-        full.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "n_shingles", "doc_id"])
-        .dropDuplicates(["digest", "n_shingles"])
-        .select(F.col("doc_id").alias("node"), "n_shingles", "sketch"),
-        "nodes",
-    )
+    # a node is a class of equal shingle sets, numbered once: an id may have several classes
+    nodes = write_table(full.dropDuplicates(["digest", "n_shingles"]).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    copies = full.select("doc_id", "digest", "n_shingles").join(nodes.select("digest", "n_shingles", "node"), ["digest", "n_shingles"])
+    copies = write_table(copies.select("doc_id", "node").distinct(), "copies")
     # a collection value that no other node has can be in no shared table
     values = nodes.select("node", F.posexplode("sketch").alias("k", "value"))
     shared = values.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k", "value")
@@ -227,11 +224,13 @@ def near_duplicates(
     )
     buckets = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     tables = write_table(keyed.join(buckets.select("key", "low"), "key"), "tables")
-    texts = docs.withColumnRenamed("doc_id", "node").join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    # mark tells the texts of one id apart
+    texts = docs.join(nodes.select("doc_id", "mark", "node"), ["doc_id", "mark"]).select("node", "text").dropDuplicates(["node"])
     star = write_table(tables.filter("node <> low").select(F.col("low").alias("u"), F.col("node").alias("v")).distinct(), "star")
     links = _confirmed(star, texts, size, similarity)
     # ids that occur with several texts join those texts' classes
-    ties = copies.filter("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
+    several = copies.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("high")).filter("u < high")
+    ties = copies.join(several, "doc_id").filter("node <> u").select("u", F.col("node").alias("v"))
     reached = components(links.unionByName(ties))
 
     # what is left: candidate pairs between components. Each table key starts with a value of A, so
@@ -282,12 +281,9 @@ def near_duplicates(
     reached = _joined(reached, _confirmed(write_table(across, "across"), texts, size, similarity))
     for done in (tables, open_, members, still, star, spokes, nodes):
         drop_table(done)
-    place = (
-        copies.join(reached.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("doc_id", F.coalesce("component", "rep").alias("component"))
-        .groupBy("doc_id")
-        .agg(F.min("component").alias("component"))
-    )
+    ends = copies.join(reached, "node", "left").select("doc_id", F.coalesce("component", "node").alias("to"))
+    roots = ends.groupBy("to").agg(F.min("doc_id").alias("component"))
+    place = ends.groupBy("doc_id").agg(F.min("to").alias("to")).join(roots, "to").select("doc_id", "component")
     out = seen.select("doc_id", "n_shingles").join(place, "doc_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+from corpus_pipeline import near_stage
 from tessera.llm.graph import components
 from tessera.llm.line_dedup import remove_boilerplate
 from tessera.llm.near_dedup import near_duplicates, shingle_set
@@ -85,6 +86,27 @@ def test_one_id_with_two_texts(spark):
     assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1)}
 
 
+@pytest.mark.parametrize("turn", [False, True])
+def test_one_id_with_near_copies_of_two_texts(spark, turn):
+    """Both texts of id 2 have a near copy, and each is the smallest of its class."""
+    a, b = prose(1, 200), prose(9, 200)
+    docs = [(2, a), (2, b), (3, a + " and more"), (4, b + " and more"), (5, prose(7, 200))]
+    df = spark.createDataFrame(docs[::-1] if turn else docs, "doc_id long, text string").coalesce(1)
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(df).collect()} == {(2, 2), (3, 2), (4, 2), (5, 5)}
+    # id 2 stands for one class only, its other text belongs to a class of id 1
+    docs = [(2, a), (2, b), (1, b), (3, a + " and more"), (5, prose(7, 200))]
+    df = spark.createDataFrame(docs[::-1] if turn else docs, "doc_id long, text string").coalesce(1)
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(df).collect()} == {(1, 1), (2, 1), (3, 1), (5, 5)}
+
+
+def test_near_stage_leaves_one_row_of_an_id(spark):
+    a, b = prose(1, 200), prose(9, 200)
+    docs = [(2, a), (2, a), (2, b), (2, " "), (3, a + " and more"), (3, None), (5, prose(7, 200)), (None, a), (None, a)]
+    df = spark.createDataFrame([(*d, "en", "s", 0) for d in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in near_stage(spark, df, "").collect()), key=repr)
+    assert got == sorted([(2, min(a, b)), (2, " "), (3, None), (5, docs[6][1]), (None, a), (None, a)], key=repr)
+
+
 def test_shingle_sets_have_the_right_sizes():
     for _, t, *_ in rows():
         for size in (3, 5):
