@@ -231,7 +231,19 @@ def pack(
             drop_table(again)
             if parts == 1:
                 break
-    out = _numbered(packed, rounds)
+    # the loosest bins of the parts that are left: one bin a part, so they fit in one partition
+    loose = (F.col("fill") < capacity) & F.col("loosest")
+    if rounds and parts > 1:
+        pool = packed.filter(loose)
+        bins = _count(pool)[1]
+        if bins > 1:
+            again = write_table(_pack(pool, 1, capacity), "packed")
+            if _count(again)[1] < bins:
+                settled.append(_numbered(packed.filter(~loose), rounds))
+                packed = again
+            else:
+                drop_table(again)
+    out = _numbered(packed, rounds + 1)
     for more in settled:
         out = out.unionByName(more)
     return out

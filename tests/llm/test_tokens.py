@@ -106,6 +106,14 @@ def test_exchange_rounds_save_sequences(spark):
     assert lower_bound(np.array([i[3] for i in items]), CAPACITY) <= few < many
 
 
+def test_loosest_bins_meet_at_the_end(spark):
+    """Four pieces fill a bin: every part leaves one loose bin, and one round doesn't join them all."""
+    items = [(k, 0, 0, CAPACITY // 4, k) for k in range(602)]
+    df = spark.createDataFrame(items, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    packed = pack(df, partition_pieces=5, rounds=1).collect()
+    assert sorted(r.doc_id for r in packed) == list(range(602)) and check_sequences(packed) == 151
+
+
 def test_chunk_ids_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
