@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.llm.byte_bpe import Vocabulary, cut, encode_chunk, ids_of, round_trip_digests, stitch
+from tessera.llm.byte_bpe import Vocabulary, cut, encode_chunk, encode_here, ids_of, round_trip_digests, stitch
 from tessera.llm.packing import CAPACITY, ChunkIds, best_fit_decreasing, lower_bound, pack, tokenise
 from tests.llm.fixtures import documents, empty, prose, rows
 
@@ -69,6 +69,29 @@ def test_round_trip(spark, encoding):
     assert ids_of(documents(spark).filter("doc_id = 7"), VOCABULARY).first()["ids"] == encoding.encode_ordinary("Two words")
 
 
+@pytest.mark.parametrize("text", [" " * 5_000_000 + "a", "\n" * 1_500_000 + " x" + " " * 1_200_000, "a" * 5_000_000, "日本語、" * 1_250_000, "日" * 1_000_000])
+def test_long_runs(text):
+    """Runs that the library's own pattern engine can't split, and texts without ASCII white space."""
+    import regex
+
+    spans = cut(text, 8192, 256)
+    assert (len(spans) > 500) == ("、" in text)
+    want = [i for m in regex.finditer(P.PATTERN, text) for i in VOCABULARY.load()._encode_single_piece(m.group())]
+    assert encode_here(text, VOCABULARY, 8192, 256) == want
+    assert VOCABULARY.load().decode_bytes(want).decode() == text
+
+
+def test_repeated_rows_and_long_runs_in_spark(spark, encoding):
+    long = prose(8, 20_000)
+    texts = [(1, long), (1, long), (1, long + "!"), (2, " " * 1_200_000 + "a"), (None, long), (None, long), (3, "x1" * 30_000)]
+    got = round_trip_digests(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), VOCABULARY).collect()
+    assert len(got) == len(texts)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted((r.doc_id or 0, r.decoded_sha256) for r in got) == sorted((i or 0, sha(t)) for i, t in texts)
+    ids = {r.ids_sha256 for r in got if r.decoded_sha256 == sha(long)}
+    assert ids == {sha(" ".join(map(str, encoding.encode_ordinary(long))))}
+
+
 def test_pieces(spark):
     from tokenizers import Tokenizer
 
