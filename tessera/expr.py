@@ -112,16 +112,19 @@ class In(Expr):
 
 @dataclass(frozen=True, eq=False)
 class Exists(Expr):
-    """Whether a related row, or with ``resource`` any row of it, matches."""
+    """Whether a related row, or with ``resource`` any row of it, matches. at: the relative whose
+    related rows they are; it is the one that references over the same path mean."""
 
     path: tuple[str, ...]
     where: Expr | None = None
     resource: str | None = None
+    at: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True, eq=False)
 class Agg(Expr):
-    """An aggregate over related rows, or with ``resource`` over any rows of it."""
+    """An aggregate over related rows, or with ``resource`` over any rows of it; read_action: of those
+    rows only the ones that this action of their resource shows."""
 
     kind: str
     path: tuple[str, ...] = ()
@@ -134,6 +137,7 @@ class Agg(Expr):
     resource: str | None = None
     join_filters: tuple = ()
     custom: Callable | None = None
+    read_action: str | None = None
 
 
 @dataclass(frozen=True, eq=False)
@@ -187,8 +191,8 @@ def parent(value) -> Parent:
     return Parent(ref(value) if isinstance(value, str) else value)
 
 
-def exists(path: str, where: Expr | None = None) -> Exists:
-    return Exists(tuple(path.split(".")), where)
+def exists(path: str, where: Expr | None = None, at: str = "") -> Exists:
+    return Exists(tuple(path.split(".")), where, at=tuple(at.split(".")) if at else ())
 
 
 def exists_any(resource: str, where: Expr | None = None) -> Exists:
@@ -282,6 +286,40 @@ def all_of(parts: list[Expr]) -> Expr | None:
     return out
 
 
+#: Functions without a value where an argument has none.
+STRICT = {
+    "eq", "ne", "lt", "le", "gt", "ge", "add", "sub", "mul", "div", "idiv", "rem", "neg", "round", "like", "ilike", "contains",
+    "starts_with", "ends_with", "string_length", "string_trim", "type",
+}
+
+
+def without(e: Expr, path: tuple[str, ...]) -> Expr:
+    """The expression where no row is at the path."""
+    if isinstance(e, Ref):
+        return Lit(None) if e.path[: len(path)] == path else e
+    if isinstance(e, Exists) and e.at[: len(path)] == path:
+        return Lit(False)
+    return rebuild(e, lambda x: without(x, path))
+
+
+def needs_row(e: Expr, path: tuple[str, ...]) -> bool:
+    """Whether the condition can't be true where no row is at the path."""
+    if isinstance(e, Ref):
+        return e.path[: len(path)] == path
+    if isinstance(e, Exists):
+        return bool(e.at) and e.at[: len(path)] == path
+    if isinstance(e, In):
+        return needs_row(e.value, path)
+    if isinstance(e, Call) and e.name == "or":
+        return all(needs_row(a, path) for a in e.args)
+    if isinstance(e, Call) and e.name == "not":
+        inner = e.args[0]
+        return (isinstance(inner, In) or (isinstance(inner, Call) and inner.name in STRICT)) and needs_row(inner, path)
+    if isinstance(e, Call) and (e.name == "and" or e.name in STRICT):
+        return any(needs_row(a, path) for a in e.args)
+    return False
+
+
 def outer_level(e: Expr | None) -> int:
     """How many scopes out an expression reaches: 0 for its own row only."""
     if e is None:

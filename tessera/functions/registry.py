@@ -18,18 +18,13 @@ def register(name: str, function: Callable[..., Column]) -> None:
 
 
 def _either(a: Column, b: Column) -> Column:
-    """The first unless it is null or false."""
+    """The first unless it is null."""
     return F.when(a.isNull(), b).otherwise(a)
 
 
-def _integer_division(a: Column, b: Column) -> Column:
-    """Truncating, like the server's / on integers."""
-    return F.floor(F.abs(a) / F.abs(b)).cast("long") * F.signum(a).cast("long") * F.signum(b).cast("long")
-
-
 FUNCTIONS.update(
     {
-        "idiv": _integer_division,
+        "idiv": lambda a, b: F.call_function("div", a, b),
         "eq": lambda a, b: a == b,
         "ne": lambda a, b: a != b,
         "lt": lambda a, b: a < b,

@@ -6,18 +6,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.errors import PlanError
-from tessera.expr import conjuncts, ref
+from tessera.expr import all_of, ref
 from tessera.operators.paginate import after
 from tessera.plans.scope import _ASC, Scope, every, sort_keys
 
-def _rows(source: Scope, relationship: str, query) -> tuple[Scope, list[str], str]:
-    """Related rows joined to the parents' keys: scope, the parents' key columns, the order's column."""
+
+def _narrow(query) -> bool:
+    return bool(query.filters or query.limit_to is not None or query.skip or query.distinct_on or query.parts)
+
+
+def _rows(source: Scope, relationship: str, query, narrow: bool = False) -> tuple[Scope, list[str], str]:
+    """Related rows joined to the parents' keys: scope, the parents' key columns, the order's column.
+
+    narrow: the parents are some of many, so that only their rows are aggregated and ranked.
+    """
     rel = source.relationship(source.resource, relationship)
     found = source.related(rel, limited=not rel.no_attributes)
     child = found.scope
-    for f in query.filters:
-        for part in conjuncts(f):
-            child.keep(part)
+    if narrow and found.keys and not found.conditions:
+        asked = source.df.select(*[F.col(a).alias(f"_p{i}") for i, (a, _) in enumerate(found.keys)])
+        child.df = child.df.join(asked, every([F.col(b) == F.col(f"_p{i}") for i, (_, b) in enumerate(found.keys)]), "left_semi")
+    if query.filters:
+        child.keep(all_of(list(query.filters)))
     for name, e in query.calculations:
         child.extra[name] = child.new_column(child.column(e))
     columns = child.aggregate([a for _, a in query.aggregates])
@@ -61,7 +71,7 @@ def load_related(query, relationship: str, of=None) -> DataFrame:
     of = of or Query(query.engine, rel.destination)
     if of.parts or of.distinct_on:
         raise PlanError("a load's query has no combinations and no distinct")
-    child, marks, order = _rows(source, relationship, of)
+    child, marks, order = _rows(source, relationship, of, _narrow(query))
     names = [*of.names(), *[n for n, _ in of.calculations + of.aggregates]]
     sources = [F.col(m).alias(f"__source_{k}") for m, k in zip(marks, source.resource.row_key(), strict=True)]
     return child.df.select(*sources, *[child.column(ref(n)).alias(n) for n in names], F.col(order).alias("__order__"))
@@ -74,10 +84,10 @@ def summarise_related(query, relationship: str, of=None, **aggregates) -> DataFr
 
     source = query.scope()
     rel = source.relationship(source.resource, relationship)
-    child, marks, _ = _rows(source, relationship, of or Query(query.engine, rel.destination))
+    child, marks, _ = _rows(source, relationship, of or Query(query.engine, rel.destination), _narrow(query))
     parts = []
     for name, a in aggregates.items():
-        condition = every([child.column(c) for c in conjuncts(a.where)])
+        condition = child.condition(a.where)
         value = child.column(a.field) if a.field is not None else None
         parts.append(_reduce(child, a, value, condition, marks).alias(name))
     found = child.df.groupBy(*marks).agg(*parts)

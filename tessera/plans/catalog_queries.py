@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.expr import agg, arg, call, cond, exists, exists_any, fragment, if_, map_of, parent, ref
-from tessera.operators.load import load_related
+from tessera.operators.load import load_related, summarise_related
 from tessera.operators.mutate import bulk_create, destroy_query, update_many, update_query, upsert
 from tessera.plans.catalog import query
 
@@ -70,7 +70,7 @@ _add(
 )
 _add(
     "filter_to_many_semi", "customer", lambda q: q.filter((ref("orders.o_totalprice") > 250000) & (ref("orders.o_orderstatus") == "F")).select("c_custkey"),
-    "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 250000) AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')",
+    "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 250000 AND o_orderstatus = 'F')",
 )
 _add(
     "exists_nested", "customer",
@@ -117,7 +117,7 @@ _add(
 _add(
     "join_theta", "customer", lambda q: q.aggregate(n=agg("count", "similar_balance")).select("c_custkey"),
     """SELECT a.c_custkey, count(b.c_custkey) AS n FROM customer a LEFT JOIN customer b
-    ON a.c_nationkey = b.c_nationkey AND b.c_acctbal > a.c_acctbal AND b.c_acctbal < a.c_acctbal + 100 WHERE a.c_custkey <= 1500 GROUP BY a.c_custkey""",
+    ON a.c_nationkey = b.c_nationkey AND b.c_acctbal > a.c_acctbal AND b.c_acctbal < a.c_acctbal + 100 GROUP BY a.c_custkey""",
 )
 _add(
     "join_manual", "customer", lambda q: q.aggregate(n=agg("count", "same_segment_order")).select("c_custkey"),
@@ -157,12 +157,12 @@ _add(
 )
 _add(
     "load_with_aggregate", "customer", lambda q: load_related(q, "orders", query_of(q, "order").aggregate(lines=agg("count", "lineitems")).sort("o_orderkey").select("o_orderkey")),
-    """SELECT o_custkey AS __source_c_custkey, o_orderkey, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines,
-    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)::INT AS __order__ FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey < 200""",
+    """SELECT o_custkey AS __source_c_custkey, o_orderkey, coalesce(n, 0) AS lines, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)::INT AS __order__
+    FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""",
 )
 _add(
-    "load_count_per_parent", "customer", lambda q: load_related(q, "orders", query_of(q, "order").select("o_orderkey")).groupBy("__source_c_custkey").agg(F.count(F.lit(1)).alias("n")),
-    "SELECT o_custkey AS __source_c_custkey, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey",
+    "load_count_per_parent", "customer", lambda q: summarise_related(q, "orders", n=agg("count")),
+    "SELECT c_custkey AS __source_c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey",
 )
 _add(
     "load_lists_nested", "region",
@@ -372,9 +372,9 @@ _add(
     "range_predicates", "order", lambda q: q.calculate(
         o=call("range_overlaps", _span(30), call("range", call("type", "1997-01-01", to="timestamp_ntz"), call("type", "1997-02-01", to="timestamp_ntz"))),
         c=call("range_contains", _span(30), call("type", "1997-01-01", to="timestamp_ntz")),
-        a=call("range_adjacent", _span(5), call("range", call("datetime_add", ref("o_orderdate"), 5), call("datetime_add", ref("o_orderdate"), 6)))).select("o_orderkey"),
+        a=call("range_adjacent", _span(5), call("range", call("datetime_add", ref("o_orderdate"), 2 + ref("o_orderkey") % 7), call("datetime_add", ref("o_orderdate"), 30)))).select("o_orderkey"),
     """SELECT o_orderkey, o_orderdate < TIMESTAMP '1997-02-01' AND o_orderdate + INTERVAL 30 DAY > TIMESTAMP '1997-01-01' AS o,
-    o_orderdate <= TIMESTAMP '1997-01-01' AND o_orderdate + INTERVAL 30 DAY > TIMESTAMP '1997-01-01' AS c, true AS a FROM orders""",
+    o_orderdate <= TIMESTAMP '1997-01-01' AND o_orderdate + INTERVAL 30 DAY > TIMESTAMP '1997-01-01' AS c, o_orderkey % 7 = 3 AS a FROM orders""",
 )
 _grams = "list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"
 _add(
@@ -402,7 +402,7 @@ def _incoming(q) -> DataFrame:
     """Customers to merge: every third one with another balance, and as many new ones."""
     rows = _loaded(q, "customer").filter("c_custkey % 3 = 0")
     old = rows.withColumn("c_acctbal", F.col("c_acctbal") + 1)
-    return old.unionByName(rows.withColumn("c_custkey", F.col("c_custkey") + 1000000))
+    return old.unionByName(rows.withColumn("c_custkey", F.col("c_custkey") + 1000000).withColumn("c_name", F.concat("c_name", F.lit("+"))))
 
 
 def _upserted(q):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.errors import PlanError
-from tessera.expr import Agg, Expr, Ref, conjuncts, ref
+from tessera.expr import Agg, Expr, Ref, all_of, ref
 from tessera.operators.paginate import after
 from tessera.plans.scope import _ASC, Scope, every, sort_keys
 from tessera.sources.engine import Engine
@@ -104,8 +104,8 @@ class Query:
     def scope(self) -> Scope:
         """Rows, in no order: filters, distinct, and the page."""
         scope = self._combination() if self.parts else Scope.of(self.engine, self.engine.domain[self.resource])
-        for f in self.filters:
-            scope.keep(f)
+        if self.filters:
+            scope.keep(all_of(list(self.filters)))
         for name, e in self.calculations:
             if not (self.parts and name in scope.extra):
                 scope.extra[name] = scope.new_column(scope.column(e))
@@ -172,7 +172,7 @@ class Query:
 
         scope, parts = self.scope(), []
         for name, a in aggregates.items():
-            condition = every([scope.column(scope.through_many(scope.expand(c))) for c in conjuncts(a.where)])
+            condition = scope.condition(a.where)
             value = scope.column(a.field) if a.field is not None else None
             column = _reduce(scope, a, value, condition, [])
             if a.default is not None:

@@ -8,16 +8,17 @@ one grouped sub-plan for each path, joined on its key.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.errors import PlanError
 from tessera.expr import (
     Agg, Call, Case, Exists, Expr, Fragment, In, Lazy, Lit, MapOf, Parent, Ref, Template,
-    all_of, children, conjuncts, outer_level, rebuild, ref,
+    all_of, children, conjuncts, needs_row, outer_level, rebuild, ref, without,
 )
 from tessera.functions.registry import FUNCTIONS
 from tessera.schema import Relationship, Resource
@@ -97,8 +98,7 @@ class Scope:
 
     def keep(self, predicate: Expr) -> None:
         """Filters the rows; conjuncts that are existence checks become semi and anti joins."""
-        for part in conjuncts(self.expand(predicate)):
-            part = self.through_many(part)
+        for part in self.parts_of(predicate):
             negated = isinstance(part, Call) and part.name == "not" and isinstance(part.args[0], Exists)
             check = part.args[0] if negated else part
             if isinstance(check, Exists):
@@ -108,23 +108,59 @@ class Scope:
                 column = self.column(part)
                 self.df = self.df.filter(column)
 
-    def through_many(self, part: Expr) -> Expr:
-        """A condition on to-many relationships holds if one related row meets it: an existence check."""
-        path = self.many_path(part)
-        return Exists(path, _moved(part, path)) if path else part
+    def parts_of(self, predicate: Expr | None) -> list[Expr]:
+        """The conjuncts; those on to-many relationships are existence checks of one related row.
+
+        Conjuncts that share a to-many hop mean the same row behind it, so they become one check, in
+        which those that go on from there are checks of their own. Only where a condition could hold
+        without any related row does it say so.
+        """
+        out: list[Expr] = []
+        groups: dict[tuple[str, ...], list[tuple[tuple[str, ...], Expr]]] = {}
+        for part in conjuncts(self.expand(predicate)) if predicate is not None else []:
+            first, whole = self.many_path(part)
+            if first:
+                groups.setdefault(first, []).append((whole, part))
+            else:
+                out.append(part)
+        for first, members in groups.items():
+            paths = {whole for whole, _ in members}
+            path = paths.pop() if len(paths) == 1 else first
+            e = all_of([m for _, m in members])
+            found: Expr = Exists(path, _moved(e, path))
+            if not needs_row(e, path):
+                found = Call("or", (found, Call("and", (without(e, path), Call("not", (Exists(path),))))))
+            out.append(found)
+        return out
 
-    def many_path(self, e: Expr) -> tuple[str, ...]:
-        if isinstance(e, Ref):
-            at, found = self.resource, ()
-            for k, hop in enumerate(e.path):
+    def condition(self, predicate: Expr | None) -> Column:
+        return every([self.column(part) for part in self.parts_of(predicate)])
+
+    def many_path(self, e: Expr) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """Where an expression's longest path first leads to many rows, and where it does last."""
+        reach = e.path if isinstance(e, Ref) else e.at if isinstance(e, Exists) else ()
+        if reach:
+            at, ends = self.resource, [()]
+            for k, hop in enumerate(reach):
+                if hop.startswith("$"):
+                    return (), ()
                 rel = self.relationship(at, hop)
                 if not rel.to_one:
-                    found = e.path[: k + 1]
+                    ends.append(reach[: k + 1])
                 at = self.engine.domain[rel.destination]
-            return found
+            return ends[min(1, len(ends) - 1)], ends[-1]
         if isinstance(e, Exists | Agg | Parent):
-            return ()
-        return max((self.many_path(c) for c in children(e)), key=len, default=())
+            return (), ()
+        return max((self.many_path(c) for c in children(e)), key=lambda found: len(found[1]), default=((), ()))
+
+    def names_relationship(self, e: Ref) -> bool:
+        at = self.resource
+        for hop in e.path:
+            rel = at.find("rel", hop) if at is not None else None
+            if rel is None:
+                return False
+            at = self.engine.domain[rel.destination]
+        return at is not None and at.find("rel", e.name) is not None
 
     def relationship(self, resource: Resource, name: str) -> Relationship:
         rel = resource.find("rel", name)
@@ -187,28 +223,43 @@ class Scope:
         else:
             out = self.path(check.path)
         child = out.scope
-        for part in conjuncts(check.where):
-            part = child.through_many(child.expand(part))
+        for part in child.parts_of(check.where):
             if isinstance(part, Exists) and outer_level(part) > 0:
                 # an inner check that reaches further out: one check over a join
                 inner = child.matching(part)
-                own = set(child.df.columns) | set(inner.scope.df.columns)
-                near = [c for c in inner.conditions if _names(c) <= own]
-                on = every([F.col(a) == F.col(b) for a, b in inner.keys] + near)
-                child.df = child.df.join(inner.scope.df, on)
-                out.conditions += [c for c in inner.conditions if not _names(c) <= own]
+                child.df = child.df.join(inner.scope.df, every([F.col(a) == F.col(b) for a, b in inner.keys]))
+                for condition in inner.conditions:
+                    try:
+                        child.df = child.df.filter(condition)
+                    except AnalysisException:  # it names columns from further out
+                        out.conditions.append(condition)
             elif outer_level(part):
-                out.conditions.append(child.column(part))
+                if not self.linked(out, part):
+                    out.conditions.append(child.column(part))
             else:
                 child.keep(part)
         return out
 
+    def linked(self, related: Related, part: Expr) -> bool:
+        """Makes an equality of a related row's value and one of this scope's row a pair of keys, so that
+        related rows can be grouped before they are joined."""
+        if not (isinstance(part, Call) and part.name == "eq"):
+            return False
+        for mine, theirs in (part.args, part.args[::-1]):
+            if isinstance(mine, Parent) and not outer_level(mine.inner) and not outer_level(theirs):
+                column = related.scope.new_column(related.scope.column(theirs))
+                related.keys = [*related.keys, (self.new_column(self.column(mine.inner)), column)]
+                return True
+        return False
+
     def to_one(self, path: tuple[str, ...]) -> tuple[Resource, str]:
         """(resource, alias) of a to-one path, joined on first use."""
         if path not in self.joined:
-            before = self.to_one(path[:-1]) if len(path) > 1 else (self.resource, self.alias)
-            source = Scope(self.engine, before[0], self.df, before[1], self.parent)
-            rel = self.relationship(before[0], path[-1])
+            source = self
+            if len(path) > 1:
+                resource, alias = self.to_one(path[:-1])
+                source = Scope(self.engine, resource, self.df, alias, self.parent)
+            rel = self.relationship(source.resource, path[-1])
             if not rel.to_one:
                 raise PlanError(f"{'.'.join(path)} leads to many rows; aggregate them or use exists")
             found = source.related(rel)
@@ -231,6 +282,10 @@ class Scope:
                 body = calc.expression(**dict(e.args)) if callable(calc.expression) else calc.expression
                 return self.expand(_under(body, e.path))
             return e
+        if isinstance(e, Call) and e.name == "is_nil" and isinstance(e.args[0], Ref) and self.names_relationship(e.args[0]):
+            return Call("not", (self.expand(Exists((e.args[0].name,), at=e.args[0].path)),))
+        if isinstance(e, Exists) and e.at and not self.many_path(e)[0]:
+            return replace(e, path=e.at + e.path, at=())  # of the one relative
         if isinstance(e, Parent | Exists | Agg):
             return e
         return rebuild(e, self.expand)
@@ -336,7 +391,7 @@ class Scope:
         groups: dict[tuple, list[Agg]] = {}
         for a in wanted:
             if id(a) not in self.known:
-                alone = () if not _outer(a) else (id(a),)
+                alone = (a.read_action, *(() if not _outer(a) else (id(a),)))
                 groups.setdefault((a.path, a.resource, tuple(id(f) for _, f in a.join_filters), *alone), []).append(a)
         for members in groups.values():
             self._aggregate(list({id(m): m for m in members}.values()))
@@ -358,13 +413,17 @@ class Scope:
                     related.scope.keep(filters[key])
             related.scope.parent = self
         child = related.scope
+        if first.read_action:
+            actions = dict(child.resource.read_actions)
+            if first.read_action not in actions:
+                raise PlanError(f"{child.resource.name} has no read action {first.read_action}")
+            child.keep(actions[first.read_action])
         for m in members:
-            for part in conjuncts(m.where) if len(members) == 1 else []:
-                part = child.through_many(child.expand(part))
-                if outer_level(part):
-                    related.conditions.append(child.column(part))
-                else:
+            for part in child.parts_of(m.where) if len(members) == 1 else []:
+                if not outer_level(part):
                     child.keep(part)
+                elif not self.linked(related, part):
+                    related.conditions.append(child.column(part))
         # a condition that all members share is applied once, before grouping
         wheres = [m.where for m in members]
         shared = len(members) > 1 and wheres[0] is not None and all(w is wheres[0] for w in wheres)
@@ -384,7 +443,7 @@ class Scope:
         names: list[str] = []
         for m in members:
             name = f"{self.engine.alias()}_a"
-            condition = child.column(m.where) if m.where is not None and len(members) > 1 and not shared else F.lit(True)
+            condition = child.condition(m.where) if m.where is not None and len(members) > 1 and not shared else F.lit(True)
             value = child.column(m.field) if m.field is not None else None
             parts.append(_reduce(child, m, value, condition, group).alias(name))
             names.append(name)
@@ -417,7 +476,7 @@ def _reduce(child: Scope, m: Agg, value: Column | None, condition: Column, group
     if m.kind in ("sum", "avg", "min", "max"):
         of = only(value)
         if m.uniq and m.kind in ("sum", "avg"):
-            return F.sum_distinct(of) if m.kind == "sum" else F.avg(of)
+            return F.sum_distinct(of) if m.kind == "sum" else F.try_divide(F.sum_distinct(of), F.count_distinct(of))
         return {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max}[m.kind](of)
     if m.kind == "custom":
         return m.custom(only(value) if value is not None else only(F.lit(1)))
@@ -448,13 +507,6 @@ def _literal(value) -> Column:
     return F.lit(value)
 
 
-def _names(c: Column) -> set[str]:
-    """Columns that an unresolved condition names."""
-    import re
-
-    return set(re.findall(r"\bt\d+_\w+", c._jc.toString() if hasattr(c, "_jc") else str(c)))
-
-
 def _chain(out: Related, rel: Relationship) -> Related:
     """One hop further: the hop's rows joined to those so far."""
     following = out.scope.related(rel)
@@ -470,7 +522,12 @@ def _top(source: Scope, out: Related, sort, offset: int, limit: int | None) -> R
     """The rows from offset to offset plus limit of each source row."""
     child = out.scope
     if out.conditions or not out.keys:
-        raise PlanError("a limited relationship has keys, and a filter without parent()")
+        # what relates the rows isn't keys alone: the source's own key is carried along
+        own = source.row_key()
+        marks = [f"{source.engine.alias()}_k" for _ in own]
+        columns = child.df.columns
+        child.df = source.df.join(child.df, out.on()).select(*columns, *[F.col(k).alias(m) for k, m in zip(own, marks, strict=True)])
+        out = Related(child, list(zip(own, marks, strict=True)), [])
     order = [_ASC[way](child.column(k)) for k, way in sort_keys(sort)] or [F.col(child.name(k)).asc_nulls_last() for k in child.resource.row_key()]
     place = child.new_column(F.row_number().over(Window.partitionBy(*[b for _, b in out.keys]).orderBy(*order)))
     if limit is not None:
@@ -486,9 +543,9 @@ def _under(e: Expr, path: tuple[str, ...]) -> Expr:
         return e
     if isinstance(e, Ref):
         return Ref(path + e.path, e.name, e.args)
-    if isinstance(e, Exists | Agg) and not e.resource:
-        from dataclasses import replace
-
+    if isinstance(e, Exists) and not e.resource:
+        return replace(e, at=path + e.at)
+    if isinstance(e, Agg) and not e.resource:
         return replace(e, path=path + e.path)
     return rebuild(e, lambda x: _under(x, path))
 
@@ -497,6 +554,8 @@ def _moved(e: Expr, path: tuple[str, ...]) -> Expr:
     """A condition on a path's end, seen from there; all else is the parent's."""
     if isinstance(e, Ref):
         return Ref(e.path[len(path) :], e.name, e.args) if e.path[: len(path)] == path else Parent(e)
+    if isinstance(e, Exists) and e.at and e.at[: len(path)] == path:
+        return replace(e, at=e.at[len(path) :])
     if isinstance(e, Exists | Agg | Parent):
         return Parent(e)
     return rebuild(e, lambda x: _moved(x, path))

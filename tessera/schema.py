@@ -12,7 +12,9 @@ from tessera.expr import Agg, Expr
 
 @dataclass(frozen=True)
 class Attribute:
-    """A column. source: its name in storage, if another. select: part of the default projection."""
+    """A column. source: its name in storage, if another. select: part of the default projection.
+    default, update_default: a value, an expression of the row (so ``call("uuid")`` gives each row its
+    own), or a function that is called once a mutation and gives either."""
 
     name: str
     type: str = "string"
@@ -93,8 +95,21 @@ class Check:
     message: str = "is invalid"
 
 
+@dataclass(frozen=True)
+class Exclusion:
+    """No two rows with equal keys have ranges that overlap. Rows without a key or range don't count."""
+
+    name: str
+    keys: tuple[str, ...]
+    range: str
+    message: str = "conflicts with an existing row"
+
+
 @dataclass(frozen=True)
 class Resource:
+    """repo: where reads come from; mutate_repo: where mutations take the table from, if elsewhere.
+    read_actions: named filters that aggregates can read through. read_policy and write_policy: what rows must meet to be seen, and to be created or changed."""
+
     name: str
     attributes: tuple[Attribute, ...]
     table: str | None = None
@@ -105,8 +120,12 @@ class Resource:
     identities: tuple[Identity, ...] = ()
     references: tuple[Reference, ...] = ()
     checks: tuple[Check, ...] = ()
+    exclusions: tuple[Exclusion, ...] = ()
     base_filter: Expr | None = None
     read_policy: Expr | None = None
+    read_actions: tuple[tuple[str, Expr], ...] = ()
+    write_policy: Expr | None = None
+    mutate_repo: str | None = None
     tenant_attribute: str | None = None
     tenant_by: str | None = None
     polymorphic: bool = False

@@ -51,8 +51,8 @@ class Engine:
             raise PlanError(f"no {kind} value {key}")
         return values[key]
 
-    def rows(self, resource: Resource, alias: str) -> DataFrame:
-        """All rows, each attribute as <alias>_<attribute>."""
+    def rows(self, resource: Resource, alias: str, mutating: bool = False) -> DataFrame:
+        """All rows, each attribute as <alias>_<attribute>; for a mutation from the repo that takes it."""
         name = self.tables.get(resource.name, resource.table)
         if not name:
             raise PlanError(f"{resource.name}: a polymorphic resource needs a table")
@@ -61,9 +61,10 @@ class Engine:
         prefix = self.tenant if resource.tenant_by == "schema" else None
         if resource.tenant_by and self.tenant is None:
             raise PlanError(f"{resource.name}: a tenant is needed")
-        if resource.repo not in self.repos:
-            raise PlanError(f"no repo {resource.repo}")
-        df = self.repos[resource.repo](name, prefix)
+        repo = resource.mutate_repo or resource.repo if mutating else resource.repo
+        if repo not in self.repos:
+            raise PlanError(f"no repo {repo}")
+        df = self.repos[repo](name, prefix)
         if resource.tenant_by == "attribute":
             df = df.filter(F.col(resource.tenant_attribute) == F.lit(self.tenant))
         stored = lambda a: F.col(a.source or a.name)

@@ -14,8 +14,15 @@ _TYPES = {
     T.DoubleType: "float", T.FloatType: "float", T.DateType: "date", T.TimestampType: "datetime", T.TimestampNTZType: "naive_datetime",
     T.BinaryType: "binary", T.StructType: "map", T.MapType: "map", T.VariantType: "map",
 }
-#: Parts of column names that suggest personal or secret content.
-SENSITIVE = ("password", "secret", "token", "ssn", "api_key", "private_key", "credit_card", "salt", "hash", "otp", "pin")
+#: What a column's name holds if its content is personal or secret.
+SENSITIVE = (
+    "password", "passwd", "pass", "pwd", "hash", "auth", "token", "secret", "api_key", "ssn", "social", "creditcard", "credit_card", "cc",
+    "passport", "driverlicense", "driver_license", "driverlicence", "driver_licence", "national_id", "account", "routing", "iban", "swift",
+    "tax_id", "phone", "email", "address", "medical", "health", "diagnosis", "treatment", "fingerprint", "retina_scan", "face_id", "dna",
+    "encrypt", "encoded", "cipher", "private", "confidential", "restricted", "sensitive", "_salt", "_secret", "_key", "_token",
+)
+#: Those that count only as a whole word.
+SENSITIVE_WORDS = ("otp", "pin", "salt")
 
 
 def logical_type(kind: T.DataType) -> str:
@@ -27,8 +34,10 @@ def logical_type(kind: T.DataType) -> str:
 
 
 def sensitive(name: str) -> bool:
-    parts = set(re.split(r"[^a-z0-9]+", name.lower()))
-    return any(s in parts or ("_" in s and s in name.lower()) for s in SENSITIVE)
+    """Whether a column's name suggests personal or secret content: any occurrence counts, so that nothing of
+    the kind is selected by default; a false alarm only has to be named in a query."""
+    words = re.split(r"[^a-z0-9]+", name.lower())
+    return any(part in name.lower() for part in SENSITIVE) or any(w in SENSITIVE_WORDS for w in words)
 
 
 def infer(name: str, table: str, df: DataFrame, primary_key: tuple[str, ...] = (), foreign_keys: dict[str, tuple[str, str]] | None = None) -> Resource:

@@ -309,3 +309,37 @@ def test_types(spark):
     codes = {"open": 0, "closed": 1}
     row = spark.range(1).select(enum_to_storage(F.lit("closed"), codes).alias("a"), enum_from_storage(F.lit(0), codes).alias("b")).first()
     assert (row["a"], row["b"]) == (1, "open")
+
+
+def test_conditions_on_one_path_share_the_row(spark):
+    q = query(spark, "post")
+    c, likes = ref("comments.title"), ref("comments.likes")
+    assert ids(q.filter((c == "a") & (likes > 1)).to_df()) == [2]
+    assert ids(q.filter(c == "a", likes > 1).to_df()) == [2]
+    assert ids(q.filter(c == "a").filter(likes > 1).to_df()) == [2]
+    assert ids(q.filter((c == "c") & (likes == 2)).to_df()) == []
+    # a condition that holds without a related row keeps rows that have none
+    assert sorted(ids(q.filter((likes > 6) | (ref("score") == 1)).to_df())) == [2, 3]
+    assert sorted(ids(q.filter(likes.is_nil()).to_df())) == [1, 2 + 1, 4]
+    assert sorted(ids(q.filter(~(c == "a")).to_df())) == [1]
+
+
+def test_exists_at_a_path_means_the_row_of_its_siblings(spark):
+    q = query(spark, "post")
+    linked = ref("linked.title")
+    assert ids(q.filter(linked == "beta", exists("comments", ref("likes") > 6, at="linked")).to_df()) == [1]
+    assert ids(q.filter(linked == "gamma", exists("comments", at="linked")).to_df()) == []
+    assert sorted(ids(q.filter(linked == "gamma", ~exists("comments", at="linked")).to_df())) == [1, 2]
+    assert sorted(ids(query(spark, "comment").filter(exists("linked", at="post")).to_df())) == [1, 2, 3, 4, 5]
+
+
+def test_average_of_distinct_values(spark):
+    out = query(spark, "author").sort("id").aggregate(a=agg("avg", "posts", "score", uniq=True), b=agg("avg", "posts", "score")).select("id").to_df().collect()
+    assert [(r["a"], r["b"]) for r in out] == [(3.0, 3.0), (1.0, 1.0), (None, None)]
+    one = query(spark, "comment").summarise(a=agg("avg", of=cond((ref("likes") > 1, 4), otherwise=0), uniq=True)).first()["a"]
+    assert one == 2.0
+
+
+def test_integer_division_is_exact(spark):
+    assert value(spark, call("idiv", 9007199254740993, 1)) == 9007199254740993
+    assert value(spark, call("idiv", -9007199254740993, 2)) == -4503599627370496

@@ -124,3 +124,110 @@ def test_stream_of_upserts(spark, tmp_path):
     stream = spark.readStream.schema("id long, name string").parquet(f"{tmp_path}/in")
     assert upsert_stream(stream, e, store, "t", f"{tmp_path}/checkpoint").awaitTermination(120)
     assert sorted(map(tuple, store.read("t").collect())) == [(1, "b"), (2, "c")]
+
+
+def _broken(change) -> list[str]:
+    with pytest.raises(ConstraintError) as e:
+        change()
+    return [x["field"] for x in e.value.errors]
+
+
+@pytest.mark.parametrize(("field", "value"), [("score", -5), ("status", "odd"), ("author_id", 77)])
+def test_every_mutation_keeps_the_constraints(spark, field, value):
+    e, q = engine(spark), query(spark, "post").filter(ref("id") == 1)
+    kind = "string" if isinstance(value, str) else "long"
+    given = spark.createDataFrame([(1, value)], f"id long, {field} {kind}")
+    assert _broken(lambda: upsert(e, "post", given)) == [field]
+    assert _broken(lambda: upsert(e, "post", given.selectExpr("id + 50 AS id", field))) == [field]
+    assert _broken(lambda: update_many(e, "post", given)) == [field]
+    assert _broken(lambda: update_query(q, {field: call("type", value, to=kind)})) == [field]
+
+
+def test_identities_after_updates(spark):
+    e = engine(spark)
+    both = spark.createDataFrame([(2, "Ada", "L")], "id long, first_name string, last_name string")
+    assert _broken(lambda: update_many(e, "author", both)) == ["first_name"]
+    assert _broken(lambda: update_query(query(spark, "author"), {"first_name": call("type", "x", to="string"), "last_name": call("type", "y", to="string")})) == ["first_name"]
+    assert _broken(lambda: upsert(e, "author", both.withColumn("id", both.id + 50))) == ["first_name"]
+    # an identity whose attributes stay isn't looked at, and swapping two rows is no conflict
+    swapped = spark.createDataFrame([(1, "Bob", None), (2, "Ada", "L")], "id long, first_name string, last_name string")
+    assert update_many(e, "author", swapped).rows.count() == 3
+
+
+def _with(spark, **changes):
+    from dataclasses import replace
+
+    base = engine(spark)
+    resources = tuple(replace(r, **changes.get(r.name, {}), _index={}) for r in base.domain.resources)
+    return base.with_values(domain=Domain(resources))
+
+
+def test_defaults_of_each_row(spark):
+    from tessera.schema import Attribute
+
+    title = Attribute("title", source="title_column", default=call("uuid"))
+    own = tuple(title if a.name == "title" else a for a in engine(spark).domain["post"].attributes)
+    done = bulk_create(_with(spark, post={"attributes": own}), "post", spark.range(10, 13).toDF("id"))
+    assert len({r["title"] for r in done.changed.collect()}) == 3
+    late = tuple(Attribute("score", "integer", update_default=ref("score") + 1) if a.name == "score" else a for a in engine(spark).domain["post"].attributes)
+    from tessera.plans.query import Query
+
+    done = update_query(Query(_with(spark, post={"attributes": late}), "post").filter(ref("id") == 1), {"title": call("type", "t", to="string")})
+    assert [(r["title"], r["score"]) for r in done.changed.collect()] == [("t", 4)]
+
+
+def test_exclusions(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions.ranges import make
+    from tessera.schema import Attribute, Exclusion, Resource
+
+    stays = lambda *rows: spark.createDataFrame(rows, "id long, room string, a long, b long").select("id", "room", make(F.col("a"), F.col("b")).alias("stay"))
+    have = stays((1, "x", 0, 5), (2, "x", 5, 9), (3, "y", 0, None))
+    booking = Resource("booking", (Attribute("id", "integer", primary_key=True), Attribute("room"), Attribute("stay", "map")), table="bookings", exclusions=(Exclusion("no_overlap", ("room",), "stay"),))
+    e = Engine(spark, Domain((booking,)), {"default": lambda table, tenant: have})
+    assert bulk_create(e, "booking", stays((4, "x", 9, 12), (5, "z", 0, 9), (6, None, 0, 9), (7, "x", 3, 3))).rows.count() == 7
+    for bad in [(4, "x", 4, 6)], [(4, "y", 100, 101)], [(4, "z", 1, 3), (5, "z", 2, 4)], [(4, "x", None, 1)]:
+        assert _broken(lambda bad=bad: bulk_create(e, "booking", stays(*bad))) == ["stay"]
+
+
+def test_write_policies(spark):
+    from tessera.expr import actor
+    from tessera.plans.query import Query
+
+    e = _with(spark, post={"write_policy": ref("author_id") == actor("id")}).with_values(actor={"id": 1})
+    assert sorted(r["id"] for r in update_query(Query(e, "post"), {"title": call("type", "t", to="string")}).changed.collect()) == [1, 2]
+    assert sorted(r["id"] for r in destroy_query(Query(e, "post")).changed.collect()) == [1, 2]
+    own = spark.createDataFrame([(9, 1)], "id long, author_id long")
+    assert bulk_create(e, "post", own).rows.count() == 5
+    assert _broken(lambda: bulk_create(e, "post", own.withColumn("author_id", own.author_id + 1))) == [""]
+    over = _with(spark, post={"write_policy": ref("author.first_name") == "Ada"})
+    assert bulk_create(over, "post", own).rows.count() == 5
+    assert _broken(lambda: bulk_create(over, "post", own.withColumn("author_id", own.author_id + 1))) == [""]
+
+
+def test_optimistic_locks(spark):
+    from tessera.operators.mutate import optimistic
+
+    q = query(spark, "post").filter(ref("id") == 1)
+    assert update(*optimistic(q, "score", 3)).changed.first()["score"] == 4
+    with pytest.raises(StaleRecord):
+        update(*optimistic(q, "score", 2))
+    with pytest.raises(StaleRecord):
+        destroy(optimistic(q, "score", 2)[0])
+
+
+def test_reads_and_mutations_from_two_repos(spark):
+    e = _with(spark, post={"mutate_repo": "primary"})
+    rows = e.repos["default"]("posts", None)
+    e = e.with_values(repos={**e.repos, "primary": lambda table, tenant: rows.filter("id < 3") if table == "posts" else e.repos["default"](table, tenant)})
+    from tessera.plans.query import Query
+
+    assert Query(e, "post").to_df().count() == 4
+    assert update_query(Query(e, "post").filter(ref("id") > 1), {"title": call("type", "t", to="string")}).changed.count() == 1
+
+
+def test_order_of_many_partitions(spark):
+    given = spark.range(1000, 1100, numPartitions=7).toDF("id")
+    done = in_input_order(bulk_create(engine(spark), "post", given)).orderBy("_ordinal").collect()
+    assert [(r["id"], r["_ordinal"]) for r in done] == [(1000 + k, k) for k in range(100)]
