@@ -2,10 +2,10 @@
 
 Overlapping heuristic labellers vote on every document: good, bad, or no vote. Expectation
 maximisation over the counts of all vote patterns estimates each labeller's accuracy and every
-pattern's posterior. A bounded sample of documents, labelled with their posteriors, trains a
-logistic scorer on hashed features: byte trigrams and binned statistics. The scorer then judges
-every document. To the driver come the counts of vote patterns (at most 3 to the number of
-labellers) and the scorer's weights.
+pattern's posterior. A bounded sample of documents, those of the smallest hashes of id and text,
+labelled with their posteriors, trains a logistic scorer on hashed features: byte trigrams and binned
+statistics. The scorer then judges every document. To the driver come the counts of vote patterns
+(at most 3 to the number of labellers) and the scorer's weights.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tessera.llm.near_dedup import word_hashes
 from tessera.llm.shared import WHITESPACE
 
 SLOTS = 4096
-#: The scorer is fitted on about so many documents, never on more than twice as many.
+#: The scorer is fitted on so many different documents, or on all if there are fewer.
 SAMPLE_DOCUMENTS = 6000
 EM_ROUNDS = 100
 FIT_ROUNDS = 150
@@ -173,12 +173,13 @@ def train(docs: DataFrame, id_col: str, text_col: str, sample: int) -> np.ndarra
 
     counted = rows.mapInArrow(vote, "pattern string").filter("pattern is not null").groupBy("pattern").count()
     patterns = {r["pattern"]: r["count"] for r in counted.collect()}
-    total = sum(patterns.values())
-    if not total:
+    if not patterns:
         return np.zeros(0)
     posterior = label_model(patterns)
-    share = min(1.0, sample / total)
-    chosen = rows.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).limit(2 * sample)
+    # eight bytes of each document are grouped, then as many as the sample are broadcast
+    held = rows.filter(F.col("_text").rlike(r"[^\x20\x09-\x0D]")).withColumn("_hash", F.xxhash64("_id", "_text"))
+    least = held.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).orderBy("_hash").limit(sample).select("_hash")
+    chosen = held.join(F.broadcast(least), "_hash", "left_semi").dropDuplicates(["_hash"])
 
     def feature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,7 +198,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, sample: int) -> np.ndarra
 
     rated = chosen.mapInArrow(feature, "x binary, y double").withColumn("one", F.lit(1))
     fitted = rated.groupBy("one").applyInArrow(solve, "w binary").collect()
-    return np.frombuffer(fitted[0]["w"], np.float64) if fitted else np.zeros(0)
+    return np.frombuffer(fitted[0]["w"], np.float64)
 
 
 def classify(
