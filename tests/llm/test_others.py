@@ -246,3 +246,40 @@ def test_pipeline_stages_on_awkward_documents(spark, tmp_path):
     packed = after["best_fit_packing"][1]
     assert check_sequences(packed.collect()) >= 1 and {r.doc_id for r in packed.collect()} == {i for i, _ in cut}
     assert sorted(map(tuple, p.run(spark, folder).select("doc_id", "piece", "ids_crc32").collect()), key=repr) == sorted(map(tuple, packed.select("doc_id", "piece", "ids_crc32").collect()), key=repr)
+
+
+def test_cells_are_the_best_of_all_tables():
+    """Every home cell is of the form that queries visit, and the visited cells are those of the greatest sums."""
+    x = np.random.default_rng(3).normal(size=(6, 8))
+    home = ann.home_cells(x, 2, 3)
+    every = ann.best_cells(x, 2, 3 * 16 * 16, 3)
+    assert every.shape == (6, 768) and all(len(set(row)) == 768 for row in every) and all(set(h) <= set(e) for h, e in zip(home, every, strict=True))
+    products = np.stack(list(ann.axes_of(x, 6)))  # rotation, vector, axis
+    sums = {(v, (t * 16 + a) * 16 + b): products[2 * t, v, a] + products[2 * t + 1, v, b] for v in range(6) for t in range(3) for a in range(16) for b in range(16)}
+    for v, row in enumerate(ann.best_cells(x, 2, 50, 3)):
+        want = sorted((s for (w, _), s in sums.items() if w == v), reverse=True)[:50]
+        assert np.allclose(sorted((sums[v, c] for c in row), reverse=True), want)
+        assert all(sums[v, c] >= sums[v, d] - 1e-12 for t, c in enumerate(home[v]) for d in range(t * 256, t * 256 + 256))
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables here")
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1", "check_s"])
+def test_recall_and_work_on_embeddings(spark, folder):
+    if not os.path.isdir(f"/root/testdata/{folder}"):
+        pytest.skip("no such table")
+    df = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")
+    asked = df.filter("vec_id % 100 = 0")
+    items = df.collect()
+    ids, x = np.array([r.vec_id for r in items]), np.array([r.embedding for r in items], float)
+    got: dict = {}
+    for r in nearest(df, asked).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 100 == 0):
+        away = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        want = [i for i in ids[np.lexsort((ids, away))].tolist() if i != ids[q]][:10]
+        hits, total = hits + len(got[ids[q]] & set(want)), total + 10
+    assert hits >= 0.93 * total
+    if len(items) > ann.FEW_VECTORS:
+        share = ann.compared(df, asked).agg(F.avg(F.col("compared") / F.col("n")).alias("share")).first()["share"]
+        assert 0 < share <= 0.1
