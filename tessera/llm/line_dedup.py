@@ -3,7 +3,9 @@
 Lines are compared by 128 bits of hash. A cheap count drops lines that occur too seldom to be
 spread or on one site only; of the others HyperLogLog sketches of the sites, merged by
 aggregation, estimate the spread. Lines whose estimate is near the threshold are counted exactly.
-DataFrame functions only.
+The places of lines that pass the cheap count are written once, so the texts are split twice and no more.
+A line that a third of all rows show is aggregated where it is read; where places meet the few lines
+that remain, these are broadcast if they are few and the join is salted otherwise. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -11,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import WHITESPACE, let
+from tessera.llm.shared import WHITESPACE, join_small, let, write_table
 
 MIN_SITES = 10
 SKETCH_BITS = 12
 #: Share of the threshold within which the estimate isn't trusted: six standard errors of a sketch of 12 bits.
 BAND = 0.1
 _ROW = ("_r", "_s")
+_LINE = ["_a", "_b"]
 
 
 def _lines(text: Column) -> Column:
@@ -33,33 +36,36 @@ def occurrences(docs: DataFrame, id_col: str, site_col: str, text_col: str) -> D
     )
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, band: float = BAND) -> DataFrame:
-    """(_a, _b, first) of the lines that at least min_sites sites show; first: where they occur first."""
-    key = ["_a", "_b"]
+def frequent(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """The lines that occur often enough, and on two sites at least, to be spread over min_sites."""
     often = (
-        lines.groupBy(*key)
+        lines.groupBy(*_LINE)
         .agg(F.count("_site").alias("n"), F.min("_site").alias("low"), F.max("_site").alias("high"))
         .filter((F.col("n") >= min_sites) & ((F.col("low") < F.col("high")) | F.lit(min_sites < 2)))
-        .select(*key)
+        .select(*_LINE)
     )
+    return write_table(join_small(lines, write_table(often, "often"), _LINE, "left_semi"), "places")
+
+
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, band: float = BAND) -> DataFrame:
+    """(_a, _b, first) of the lines that at least min_sites sites show; first: where they occur first."""
     place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_r").alias("r"), F.col("_s").alias("s"), F.col("_at").alias("at"))
-    spread = (
-        lines.join(often, key, "left_semi")
-        .groupBy(*key)
+    spread = write_table(
+        lines.groupBy(*_LINE)
         .agg(F.hll_sketch_estimate(F.hll_sketch_agg("_site", SKETCH_BITS)).alias("sites"), F.min(place).alias("first"))
-        .filter(F.col("sites") >= min_sites * (1 - band))
+        .filter(F.col("sites") >= min_sites * (1 - band)),
+        "spread",
     )
     clear = F.col("sites") > min_sites * (1 + band)
+    near = spread.filter(~clear)
     exact = (
-        lines.join(spread.filter(~clear), key, "left_semi")
-        .select(*key, "_site")
+        join_small(lines.select(*_LINE, "_site"), near.select(*_LINE), _LINE, "left_semi")
         .distinct()
-        .groupBy(*key)
+        .groupBy(*_LINE)
         .agg(F.count("_site").alias("exact"))
         .filter(F.col("exact") >= min_sites)
     )
-    near = spread.filter(~clear).join(exact, key, "left_semi")
-    return spread.filter(clear).unionByName(near).select(*key, "first")
+    return write_table(spread.filter(clear).unionByName(near.join(exact, _LINE, "left_semi")).select(*_LINE, "first"), "boilerplate")
 
 
 def remove_boilerplate(
@@ -87,9 +93,8 @@ def remove_boilerplate(
     held = [F.col(id_col), F.col(text_col)]
     keys = [F.xxhash64(*held).alias("_r"), F.xxhash64(F.lit(1), *held).alias("_s")]
     rows = docs.select(*[F.col(c) for c in columns], *keys)
-    lines = occurrences(rows, id_col, site_col, text_col)
-    found = boilerplate(lines, min_sites)
-    hits = lines.join(found, ["_a", "_b"])
+    lines = frequent(occurrences(rows, id_col, site_col, text_col), min_sites)
+    hits = join_small(lines, boilerplate(lines, min_sites), _LINE, "inner")
     if keep_first:
         first = (F.col("_r") == F.col("first.r")) & (F.col("_s") == F.col("first.s")) & (F.col("_at") == F.col("first.at"))
         hits = hits.filter(~first)

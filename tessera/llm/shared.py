@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\x0b\x0c\r"
 
+#: A table of so many rows is broadcast; beyond, its join is salted.
+BROADCAST_ROWS = 100_000
+SALTS = 16
+
 _fallback: list[str] = []
 _written: list[tuple[SparkSession, str]] = []
 
@@ -75,6 +79,20 @@ def _clean() -> None:
             return
 
 
+def join_small(df: DataFrame, small: DataFrame, key: list[str], how: str) -> DataFrame:
+    """A join with a written table of unique keys that is often small, without a hot key in one task.
+
+    The table's rows are counted. Up to BROADCAST_ROWS, of some tens of bytes each, it is broadcast.
+    Beyond, the large side is salted by its own columns and the table repeated for each salt, so
+    that rows of one key meet it in SALTS tasks.
+    """
+    if small.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(small), key, how)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*key, "_salt"], how).drop("_salt")
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once: a lambda variable, not an inlined expression."""
     return F.transform(F.array(value), body)[0]
