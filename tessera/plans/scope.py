@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,14 +50,14 @@ def every(conditions: list[Column]) -> Column:
 @dataclass
 class Related:
     """The rows of a path's end: scope, key pairs (source column, own column), and conditions that
-    need the source's columns."""
+    need the source's columns (1) or those of a scope so many further out."""
 
     scope: Scope
     keys: list[tuple[str, str]]
-    conditions: list[Column]
+    conditions: list[tuple[int, Column]]
 
     def on(self) -> Column:
-        return every([F.col(a) == F.col(b) for a, b in self.keys] + self.conditions)
+        return every([F.col(a) == F.col(b) for a, b in self.keys] + [c for _, c in self.conditions])
 
 
 class Scope:
@@ -185,7 +184,7 @@ class Scope:
             child = Scope.of(engine, engine.domain[rel.destination], self)
             keys, conditions = [], []
             if rel.manual is not None:
-                conditions.append(rel.manual(lambda a: F.col(self.name(a)), lambda a: F.col(child.name(a))))
+                conditions.append((1, rel.manual(lambda a: F.col(self.name(a)), lambda a: F.col(child.name(a)))))
             elif rel.through:
                 join_name, source_key, destination_key = rel.through
                 if rel.join_relationship:
@@ -201,7 +200,7 @@ class Scope:
         child.parent = self
         for part in conjuncts(rel.filter):
             if outer_level(part):
-                conditions.append(child.column(part))
+                conditions.append((outer_level(part), child.column(part)))
             else:
                 child.keep(part)
         out = Related(child, keys, conditions)
@@ -227,15 +226,12 @@ class Scope:
             if isinstance(part, Exists) and outer_level(part) > 0:
                 # an inner check that reaches further out: one check over a join
                 inner = child.matching(part)
-                child.df = child.df.join(inner.scope.df, every([F.col(a) == F.col(b) for a, b in inner.keys]))
-                for condition in inner.conditions:
-                    try:
-                        child.df = child.df.filter(condition)
-                    except AnalysisException:  # it names columns from further out
-                        out.conditions.append(condition)
+                near = [c for level, c in inner.conditions if level < 2]
+                child.df = child.df.join(inner.scope.df, every([F.col(a) == F.col(b) for a, b in inner.keys] + near))
+                out.conditions += [(level - 1, c) for level, c in inner.conditions if level > 1]
             elif outer_level(part):
                 if not self.linked(out, part):
-                    out.conditions.append(child.column(part))
+                    out.conditions.append((outer_level(part), child.column(part)))
             else:
                 child.keep(part)
         return out
@@ -423,7 +419,7 @@ class Scope:
                 if not outer_level(part):
                     child.keep(part)
                 elif not self.linked(related, part):
-                    related.conditions.append(child.column(part))
+                    related.conditions.append((outer_level(part), child.column(part)))
         # a condition that all members share is applied once, before grouping
         wheres = [m.where for m in members]
         shared = len(members) > 1 and wheres[0] is not None and all(w is wheres[0] for w in wheres)

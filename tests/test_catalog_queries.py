@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from tessera.plans.catalog_queries import ORACLES, QUERIES
+from tessera.plans.feature_queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
