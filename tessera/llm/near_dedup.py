@@ -5,10 +5,12 @@ Two small collections, A and B, of m combined minhashes each give m * m table ke
 A_i and a B_j shares a table. Documents with equal shingle sets are one node. In every table the
 members are linked to the smallest one; those candidates are confirmed on the full sets. Members
 of one table that are then still in different components are linked to the member that has the
-fewest shingles of its own, and what is left is compared across components. A pair is left out
-only if its rare shingles in common and the frequent ones of either are too few for a link. So
+fewest shingles of its own, and what is left is compared across components: of two texts that are alike
+enough the first few shingles of each, rarest first, have one in common. If it is a rare one they meet
+at it, where few others are; if it is frequent, almost all of either text is, and only such texts
+meet in their tables, where the rare shingles in common and the frequent ones of either can be enough. So
 no link between two components goes unseen, while a bucket of n copies costs about n checks and
-not n squared.
+not n squared, and one of n unrelated texts none.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from tessera.llm.graph import components
-from tessera.llm.shared import by_slices, drop_table, let, write_table
+from tessera.llm.shared import by_slices, drop_table, join_small, let, write_table
 
 SHINGLE_WORDS = 3
 SIMILARITY = 85
@@ -29,6 +31,8 @@ COLLECTIONS = 10
 ROWS = 3
 #: Shingles of at most so many documents are compared one by one where a bound is wanted; any number is exact.
 FEW_HOLDERS = 32
+#: Classes of more copies are joined without being dealt by class.
+HOT_COPIES = 1000
 
 _U = np.uint64
 
@@ -46,6 +50,10 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
+#: Bytes that are hashed at once; what is held besides grows with the words only.
+HASH_BYTES = 1 << 20
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n + 1:
         size = 1 << (n + 1).bit_length()
@@ -56,18 +64,32 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def word_hashes(text: bytes) -> np.ndarray:
+def word_hashes(text: bytes, block: int = HASH_BYTES) -> np.ndarray:
     """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ in order."""
     raw = np.frombuffer(text, np.uint8)
     if not len(raw):
         return np.zeros(0, _U)
     inside = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    up, down = _powers(len(raw))
-    sums = np.zeros(len(raw) + 1, _U)
-    np.cumsum(_BYTE[raw] * up[: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    del inside, edge
+    up, down = _powers(min(len(raw), block))
+    # sums of bytes times powers of the base up to each start and end, a block at a time
+    before, after, scale = (np.zeros(len(starts), _U) for _ in range(3))
+    carry = _U(0)
+    for at in range(0, len(raw), block):
+        part = raw[at : at + block]
+        sums = np.zeros(len(part) + 1, _U)
+        np.cumsum(_BYTE[part] * up[: len(part)], out=sums[1:])
+        sums = sums * _U(pow(_BASE, at, 1 << 64)) + carry
+        s, e = (np.searchsorted(x, [at, at + len(part)]) for x in (starts, ends))
+        before[s[0] : s[1]] = sums[starts[s[0] : s[1]] - at]
+        scale[s[0] : s[1]] = down[starts[s[0] : s[1]] - at] * _U(pow(_INVERSE, at, 1 << 64))
+        after[e[0] : e[1]] = sums[ends[e[0] : e[1]] - at]
+        carry = sums[-1]
+    if len(ends) and ends[-1] == len(raw):
+        after[-1] = carry
+    return mix((after - before) * scale + (ends - starts).astype(_U))
 
 
 def shingle_set(text: str | None, size: int = SHINGLE_WORDS) -> np.ndarray:
@@ -160,11 +182,12 @@ def _own(texts: DataFrame, size: int) -> DataFrame:
     return holders.filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _held(texts: DataFrame, size: int, few: int = FEW_HOLDERS) -> DataFrame:
-    """(node, rare, often): its shingles that two to ``few`` nodes have, and how many more have."""
+def _held(texts: DataFrame, size: int, few: int) -> DataFrame:
+    """(node, rare, often): its shingles that two to ``few`` nodes have, rarest first, and how many more have."""
     seen = write_table(_exploded(texts, size), "shingles")
     holders = seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rare, often = F.collect_list(F.when(F.col("n") <= few, F.col("shingle"))), F.count(F.when(F.col("n") > few, 1))
+    rare = F.array_sort(F.collect_list(F.when(F.col("n") <= few, F.struct("n", "shingle"))))
+    rare, often = F.transform(rare, lambda s: s["shingle"]), F.count(F.when(F.col("n") > few, 1))
     some = seen.join(holders, "shingle").groupBy("node").agg(rare.alias("rare"), often.alias("often"))
     every = texts.select("node").join(some, "node", "left")
     return every.select("node", F.coalesce("rare", F.array().cast("array<long>")).alias("rare"), F.coalesce("often", F.lit(0)).alias("often"))
@@ -207,8 +230,15 @@ def near_duplicates(
     seen = write_table(_sketches(docs, size, collections, rows), "sketches")
     full = seen.filter("n_shingles > 0 and doc_id is not null")
     # a node is a class of equal shingle sets, numbered once: an id may have several classes
-    nodes = write_table(full.dropDuplicates(["digest", "n_shingles"]).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    copies = full.select("doc_id", "digest", "n_shingles").join(nodes.select("digest", "n_shingles", "node"), ["digest", "n_shingles"])
+    of = ["digest", "n_shingles"]
+    least = F.min(F.struct("doc_id", "mark", "sketch")).alias("least")
+    nodes = full.groupBy(*of).agg(least, F.count(F.lit(1)).alias("n")).select(*of, "n", "least.*")
+    nodes = write_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    # copies of the few large classes meet their node without being dealt by it
+    hot = write_table(nodes.filter(F.col("n") > HOT_COPIES).select(*of, "node"), "hot")
+    ids = full.select("doc_id", *of)
+    cold = join_small(ids, hot.select(*of), of, "left_anti").join(nodes.filter(F.col("n") <= HOT_COPIES).select(*of, "node"), of)
+    copies = cold.unionByName(join_small(ids, hot, of, "inner"))
     copies = write_table(copies.select("doc_id", "node").distinct(), "copies")
     # a collection value that no other node has can be in no shared table
     values = nodes.select("node", F.posexplode("sketch").alias("k", "value"))
@@ -261,7 +291,21 @@ def near_duplicates(
 
     still = write_table(mixed(members, reached), "open")
     left = texts.join(still.select("node").distinct(), "node", "left_semi").select("node", "text")
-    still = write_table(still.drop("common").join(_held(left, size), "node", "left"), "open")
+    held = _held(left, size, FEW_HOLDERS)
+    # of two texts that are alike enough, the first shingles of each, rarest first, have one in common
+    first_ones = F.col("n_shingles") - F.ceil(similarity * F.col("n_shingles") / F.lit(100)) + 1
+    alone = F.col("n_shingles") - F.size("rare") - F.col("often")
+    info = still.groupBy("node", "n_shingles", "c").agg(F.first("sketch").alias("sketch")).join(held, "node")
+    info = write_table(info.withColumn("prefix", F.slice("rare", 1, F.greatest(first_ones - alone, F.lit(0)).cast("int"))), "info")
+    equal = F.zip_with("a_sketch", "b_sketch", lambda x, y: x == y)
+    table = let(equal, lambda e: F.array_contains(F.slice(e, 1, collections), F.lit(True)) & F.array_contains(F.slice(e, collections + 1, collections), F.lit(True)))
+    side = lambda x: info.select(F.explode("prefix").alias("shingle"), *[F.col(f).alias(f"{x}_{f}") for f in ("node", "n_shingles", "c", "sketch")])
+    sized = (100 * F.least("a_n_shingles", "b_n_shingles")) >= (similarity * F.greatest("a_n_shingles", "b_n_shingles"))
+    rare_pairs = side("a").join(side("b"), "shingle").filter((F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c")) & sized & table).select(*pair)
+    # or that shingle is frequent, and then so are most of either text: these meet in their tables
+    heavy = info.filter(100 * F.col("often") >= similarity * F.col("n_shingles")).select("node", "rare", "often")
+    still = write_table(still.drop("common").join(heavy, "node"), "heavy")
+    still = mixed(still.drop("c", "main"), reached)
     fields = ("node", "n_shingles", "sketch", "c", "rare", "often")
     a = still.filter("c <> main").select("key", "main", "i", *[F.col(x).alias(f"a_{x}") for x in fields])
     b = still.select("key", *[F.col(x).alias(f"b_{x}") for x in fields])
@@ -270,16 +314,16 @@ def near_duplicates(
     within = F.size(F.array_intersect("a_rare", "b_rare")) + F.least("a_often", "b_often")
     within = ((100 + similarity) * within) >= (similarity * (F.col("a_n_shingles") + F.col("b_n_shingles")))
     # only where they share a table, and only at the first value of A that they share: each pair once
-    equal = F.zip_with("a_sketch", "b_sketch", lambda x, y: x == y)
     once = let(
         equal,
         lambda e: (F.array_position(F.slice(e, 1, collections), F.lit(True)) == F.col("i") + 1)
         & F.array_contains(F.slice(e, collections + 1, collections), F.lit(True)),
     )
-    across = a.join(b, (a["key"] == b["key"]) & apart & once & within).select(*pair)
+    heavy_pairs = a.join(b, (a["key"] == b["key"]) & apart & once & within & sized).select(*pair)
+    across = rare_pairs.unionByName(heavy_pairs).distinct()
     across = across.join(star.unionByName(spokes), ["u", "v"], "left_anti")
     reached = _joined(reached, _confirmed(write_table(across, "across"), texts, size, similarity))
-    for done in (tables, open_, members, still, star, spokes, nodes):
+    for done in (tables, open_, members, info, star, spokes, nodes, hot):
         drop_table(done)
     ends = copies.join(reached, "node", "left").select("doc_id", F.coalesce("component", "node").alias("to"))
     roots = ends.groupBy("to").agg(F.min("doc_id").alias("component"))
