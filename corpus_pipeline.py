@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next one's docs. All but the last return the columns of documents, n_chars being the
-length of the text that is left.
+length of the text that is left. Other columns of docs go, whatever their names; an empty table gives
+an empty one; texts may be of any length. Null ids, languages and sources stay null.
 """
 
 from __future__ import annotations
@@ -24,19 +25,23 @@ NEAR = {"size": 5, "similarity": 80, "collections": 14, "rows": 3}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps, unchanged. Null and blank texts go; rows that share an id are judged each."""
     return classify(docs).filter("kept").select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many sources show, but for each line's first place."""
+    """Documents without the lines that many sources show, but for each line's first place.
+
+    No row goes. Null texts stay null, a null source isn't counted; of ties the smaller id's line stays.
+    """
     return remove_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group of near duplicates.
 
-    Of rows that share that id and have words the one of the smallest text stays.
+    Of rows that share that id and have words the one of the smallest text stays. Rows without an id or
+    without words all stay.
     """
     near = near_duplicates(docs, **NEAR)
     some = near.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id", "kept").agg(F.count(F.lit(1)).alias("n"))
@@ -54,7 +59,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 100 bytes or more that start earlier too.
 
-    A character that loses some of its bytes goes whole.
+    A character that loses some of its bytes goes whole. No row goes; null texts become empty.
     """
 
     def finish(text: bytes, spans: list[tuple[int, int]]) -> dict:
@@ -66,7 +71,7 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 2048 tokens."""
+    """The pieces of all documents in sequences of at most 2048 tokens. A null text is an empty one; each row is packed."""
     import public_tokenizers
 
     return pack(tokenise(docs, public_tokenizers.path("word_bpe_49k.json")))
