@@ -12,6 +12,8 @@ anchors at the same place, so windows that repeat meet at the anchors' suffixes
    those from the anchor on, a separator that UTF-8 doesn't use, and those before the anchor.
    Equal suffixes are settled at once, all but the earliest; the rest leave as sorted,
    front-coded runs, dealt by gram.
+   Suffixes of a gram that many buckets hold are dealt by more than the gram: windows that reach
+   further behind the anchor than before it by the bytes behind, the others by the bytes before.
 3. A loser tree merges the runs of a partition. It keeps the length of the prefix that each loser
    shares with the string that beat it, so known prefixes are never compared again, and it yields
    each suffix with the prefix it shares with the one before. Runs of suffixes that share the gram
@@ -23,6 +25,7 @@ anchors at the same place, so windows that repeat meet at the anchors' suffixes
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,8 @@ GRAM_BYTES = 40
 BUCKET_BYTES = 16 << 20
 #: Documents are hashed together up to so many bytes.
 BLOCK_BYTES = 1 << 20
+#: A gram in so many buckets is split by the bytes around it.
+HOT_BUCKETS = 16
 #: Not a byte of UTF-8.
 SEPARATOR = b"\xff"
 _U = np.uint64
@@ -72,16 +77,26 @@ def anchors(block: bytes, ends: np.ndarray, match: int, gram: int) -> tuple[np.n
     return g[at[turn]], at[turn], starts[turn], starts[last]
 
 
-def _blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of documents of about limit bytes together."""
-    first, held = 0, 0
+def _blocks(texts: list[bytes], match: int) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+    """(first document, where the block starts in it, block, ends of documents in it), each of about BLOCK_BYTES.
+
+    A longer document is cut into pieces that overlap by match - 1 bytes, so that each of its windows lies in one.
+    """
+    first, held, limit = 0, 0, BLOCK_BYTES
+    joined = lambda last: (first, 0, b"".join(texts[first:last]), np.cumsum([len(t) for t in texts[first:last]]))
     for i, t in enumerate(texts):
         if held and held + len(t) > limit:
-            yield first, i
+            yield joined(i)
             first, held = i, 0
+        if len(t) > limit:
+            for at in range(0, len(t) - match + 1, limit):
+                piece = t[at : at + limit + match - 1]
+                yield i, at, piece, np.array([len(piece)])
+            first = i + 1
+            continue
         held += len(t)
     if first < len(texts):
-        yield first, len(texts)
+        yield joined(len(texts))
 
 
 def common_prefix(a: bytes, b: bytes, known: int) -> int:
@@ -181,10 +196,10 @@ class Suffix:
 def repeated_windows(group: list[Suffix], match: int) -> Iterator[tuple[tuple, int, int]]:
     """(place, start, end) of the spans covered by windows that an earlier place has too.
 
-    group: distinct contexts of one gram. place: (id, row, first start, bucket).
+    group: distinct contexts of one gram. place: (id, content, row, first start, bucket).
     """
     seen: set[bytes] = set()
-    for s in sorted(group, key=lambda s: s.place[:3]):
+    for s in sorted(group, key=lambda s: s.place):
         context = s.before + s.right
         # a window with t bytes before the anchor needs match - t shared bytes from it on
         most = min(len(s.before) - (match - min(s.reach, len(s.right))), len(context) - match)
@@ -215,7 +230,7 @@ def _spans(marks: np.ndarray) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-_GRAMS = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary())])
+_GRAMS = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary()), ("hot", pa.binary())])
 _RUNS = pa.schema(
     [("part", pa.int32()), ("bucket", pa.int32()), ("shared", pa.binary()), ("lengths", pa.binary()), ("rests", pa.binary()),
      ("places", pa.binary()), ("marks", pa.binary())]
@@ -253,76 +268,85 @@ def remove_repeats(
     """A row for each input row: the id, the carried columns and what ``finish`` makes of the
     text's bytes and its removed spans.
 
-    Null texts are empty and lose nothing. Of rows that share an id, the one read first counts as
-    earlier; rows without an id count as the last. An empty table gives an empty result.
+    Null texts are empty and lose nothing. Of rows that share an id, the one of the smaller content
+    hash counts as earlier; rows without an id count as the last. Texts may be of any length: what is
+    hashed at once is bounded. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     parts = max(shuffle_partitions(spark), -(-size // bucket_bytes))
-    dealt = (
-        docs.select(
-            F.monotonically_increasing_id().alias("_row"),
-            F.col(id_col).cast("long").alias("_id"),
-            F.col(text_col).alias("_text"),
-            *[F.col(c).alias(f"_carry_{c}") for c in carry],
-        )
-        .withColumn("bucket", F.pmod(F.xxhash64("_row"), F.lit(parts)).cast("int"))
-    )
+    held = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_carry_{c}") for c in carry])
+    # rows are named by their content: the same in every branch of the plan and after a lost executor
+    content = [F.xxhash64(F.lit(k), *held.columns).alias(n) for k, n in enumerate(("_a", "_b"))]
+    dealt = held.select("*", *content).withColumn("bucket", F.pmod("_a", F.lit(parts)).cast("int"))
+
+    def in_order(table: pa.Table) -> pa.Table:
+        """A bucket's rows in an order that depends on their content only; a row's place is its number."""
+        return table.sort_by([("_id", "ascending"), ("_a", "ascending"), ("_b", "ascending")])
 
     def bucket_anchors(texts: list[bytes]) -> Iterator[tuple]:
-        for first, last in _blocks(texts):
-            block = b"".join(texts[first:last])
-            ends = np.cumsum([len(t) for t in texts[first:last]])
-            yield first, block, ends, *anchors(block, ends, match, gram)
+        for first, at, block, ends in _blocks(texts, match):
+            yield first, at, block, ends, *anchors(block, ends, match, gram)
 
     def count_grams(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        found = [f[3] for f in bucket_anchors(_texts(table))]
+        found = [f[4] for f in bucket_anchors(_texts(table))]
         h = np.unique(np.concatenate(found) >> _U(64 - _GRAM_BITS)) if found else np.zeros(0, _U)
         to = (h % _U(parts)).astype(np.int64)
         order = np.argsort(to, kind="stable")
         h, to = h[order], to[order]
         at = np.flatnonzero(np.diff(to, prepend=-1))
-        rows = [(int(to[s]), bucket, _pack48(h[s:e])) for s, e in zip(at, [*at[1:], len(h)], strict=True)] if len(h) else []
+        rows = [(int(to[s]), bucket, _pack48(h[s:e]), None) for s, e in zip(at, [*at[1:], len(h)], strict=True)] if len(h) else []
         return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_GRAMS)], schema=_GRAMS)
 
     def in_several(table: pa.Table) -> pa.Table:
         rows = [_unpack48(x) for x in table.column("grams").to_pylist()]
         every = np.sort(np.concatenate(rows))
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
-        found = [r[np.isin(r, twice, assume_unique=True)] for r in rows]
+        gram_of, often = np.unique(every, return_counts=True)
+        twice, hot = gram_of[often > 1], gram_of[often >= HOT_BUCKETS]
+        chosen = lambda of: pa.array([_pack48(r[np.isin(r, of, assume_unique=True)]) for r in rows], pa.binary())
         return pa.Table.from_arrays(
-            [table.column("part").combine_chunks(), table.column("bucket").combine_chunks(), pa.array([_pack48(f) for f in found], pa.binary())],
-            schema=_GRAMS,
+            [table.column("part").combine_chunks(), table.column("bucket").combine_chunks(), chosen(twice), chosen(hot)], schema=_GRAMS
         )
 
     def sorted_runs(table: pa.Table, common: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _RUNS.empty_table()
         bucket = table.column("bucket")[0].as_py()
+        table = in_order(table)
         ids = [(1 << 63) - 1 if i is None else i for i in table.column("_id").to_pylist()]
-        rows = table.column("_row").to_pylist()
+        content = table.column("_a").to_pylist()
         texts = _texts(table)
-        order = sorted(range(len(rows)), key=lambda i: (ids[i], rows[i]))
-        ids, rows, texts = ([x[i] for i in order] for x in (ids, rows, texts))
-        elsewhere = np.sort(np.concatenate([np.zeros(0, _U), *[_unpack48(x) for x in common.column("grams").to_pylist()]]))
+        unpacked = lambda name: np.sort(np.concatenate([np.zeros(0, _U), *[_unpack48(x) for x in common.column(name).to_pylist()]]))
+        elsewhere, hot = unpacked("grams"), unpacked("hot")
         found = list(bucket_anchors(texts))
-        every = np.sort(np.concatenate([f[3] for f in found]) >> _U(64 - _GRAM_BITS))
+        every = np.sort(np.concatenate([np.zeros(0, _U), *[f[4] for f in found]]) >> _U(64 - _GRAM_BITS))
         here = np.unique(every[1:][every[1:] == every[:-1]])
         often = np.union1d(elsewhere, here)
         first_at: dict[bytes, tuple] = {}
         marks: list[tuple[int, int, int]] = []
-        for first, block, ends, g, x, low, high in found:
+        half = (match - gram) // 2
+        for first, at, block, ends, g, x, low, high in found:
             h = g >> _U(64 - _GRAM_BITS)
             keep = np.isin(h, often)
             doc = np.searchsorted(ends, x[keep], side="right")
-            begin = np.concatenate([[0], ends])[doc]
-            for part, d, b, a, s, e in zip(
-                (h[keep] % _U(parts)).tolist(), doc.tolist(), begin.tolist(), x[keep].tolist(), low[keep].tolist(), high[keep].tolist(), strict=True
-            ):
-                key = block[a : e + match] + SEPARATOR + block[s:a]
-                if first_at.setdefault(key, place := (part, ids[first + d], rows[first + d], s - b)) is not place:
-                    marks.append((rows[first + d], s - b, e + match - b))
+            begin = np.concatenate([[0], ends])[doc] - at
+            for part, split, d, b, a, s, e in zip(
+                (h[keep] % _U(parts)).tolist(), np.isin(h[keep], hot).tolist(), doc.tolist(), begin.tolist(), x[keep].tolist(),
+                low[keep].tolist(), high[keep].tolist(), strict=True,
+            ):
+                turns = [(part, s, e)]
+                if split:
+                    # windows with at most half the rest before the anchor share more bytes behind it, the others before it
+                    turn = max(s, a - half)
+                    turns = [(crc32(block[a : a + match - half]) % parts, turn, e)] if turn <= e else []
+                    if s < turn:
+                        turns.append((crc32(block[a - half - 1 : a + gram]) % parts, s, min(e, turn - 1)))
+                for to, s, e in turns:
+                    key = block[a : e + match] + SEPARATOR + block[s:a]
+                    place = (to, ids[first + d], content[first + d], first + d, s - b)
+                    if first_at.setdefault(key, place) is not place:
+                        marks.append((first + d, s - b, e + match - b))
         # a gram in one bucket only needs no merge beyond it, but takes the same way
         by_part: dict[int, list[bytes]] = {}
         for key in sorted(first_at):
@@ -338,7 +362,7 @@ def remove_repeats(
     def merged(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         runs = [r for r in rows if r["rests"] is not None]
-        places = [np.frombuffer(r["places"], "<i8").reshape(-1, 3).tolist() for r in runs]
+        places = [np.frombuffer(r["places"], "<i8").reshape(-1, 4).tolist() for r in runs]
         for r, p in zip(runs, places, strict=True):
             p.reverse()
             r["own"] = p
@@ -346,19 +370,18 @@ def remove_repeats(
 
         def settle(group: list[Suffix]) -> None:
             if len(group) > 1:
-                for (_, row, start, bucket), s, e in repeated_windows(group, match):
+                for (_, _, row, start, bucket), s, e in repeated_windows(group, match):
                     marks.setdefault(bucket, []).append((row, start + s, start + e))
 
         group: list[Suffix] = []
         before = b""
         for key, shared, run in merge([front_decode(r["shared"], r["lengths"], r["rests"]) for r in runs]):
-            ident, row, start = runs[run]["own"].pop()
-            place = (ident, row, start, runs[run]["bucket"])
+            place = (*runs[run]["own"].pop(), runs[run]["bucket"])
             if shared == len(key) == len(before):
                 last = group[-1]
-                late, early = (place, last.place) if place[:3] > last.place[:3] else (last.place, place)
+                late, early = (place, last.place) if place > last.place else (last.place, place)
                 last.place = early
-                marks.setdefault(late[3], []).append((late[1], late[2], late[2] + len(key) - 1))
+                marks.setdefault(late[4], []).append((late[2], late[3], late[3] + len(key) - 1))
                 continue
             if shared < gram:
                 settle(group)
@@ -385,7 +408,8 @@ def remove_repeats(
             at = np.flatnonzero(np.diff(every[:, 0], prepend=-1))
             for s, e in zip(at, [*at[1:], len(every)], strict=True):
                 spans[int(every[s, 0])] = _spans(every[s:e, 1:])
-        found = [finish(t, spans.get(row, [])) for t, row in zip(_texts(table), table.column("_row").to_pylist(), strict=True)]
+        table = in_order(table)
+        found = [finish(t, spans.get(row, [])) for row, t in enumerate(_texts(table))]
         columns = [pa.chunked_array([pa.array([f[n.name] for f in found], n.type)]) for n in result_schema]
         return pa.Table.from_arrays([table.column("_id"), *[table.column(f.name) for f in carried], *columns], schema=out_schema)
 

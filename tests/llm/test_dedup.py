@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from corpus_pipeline import near_stage
+from tessera.llm import near_dedup, shared, suffix_dedup
 from tessera.llm.graph import components
 from tessera.llm.line_dedup import remove_boilerplate
 from tessera.llm.near_dedup import near_duplicates, shingle_set
@@ -65,8 +66,11 @@ def test_awkward_documents(spark):
     assert near_duplicates(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("options", [{}, {"size": 5, "similarity": 80, "collections": 14}])
-def test_chains_of_edits(spark, options):
+@pytest.mark.parametrize(("options", "few"), [({}, 32), ({"size": 5, "similarity": 80, "collections": 14}, 32), ({}, 1), ({}, 4)])
+def test_chains_of_edits(spark, monkeypatch, options, few):
+    """Also where all shared shingles, or some, count as frequent, and every class as large."""
+    monkeypatch.setattr(near_dedup, "FEW_HOLDERS", few)
+    monkeypatch.setattr(near_dedup, "HOT_COPIES", 1 if few < 32 else 1000)
     r = random.Random(5)
     docs = []
     for family in range(6):
@@ -75,6 +79,7 @@ def test_chains_of_edits(spark, options):
             words = list(words)
             words[r.randrange(len(words))] = f"w{r.randrange(10**6)}"  # each close to the one before it
             docs.append((len(docs), " ".join(words)))
+        docs.append((len(docs), docs[-1][1]))
     r.shuffle(docs)
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
     check(spark, docs, df, **options)
@@ -158,6 +163,66 @@ def test_suffixes_of_repetitive_documents(spark, seed):
         assert sorted(got, key=_ORDER) == sorted(brute_removed(docs, match), key=_ORDER)
 
 
+@pytest.mark.parametrize("hot", [1, 2, 10**6])
+def test_common_grams_in_different_surroundings(spark, monkeypatch, hot):
+    """A phrase in every document, and passages of several lengths in many."""
+    monkeypatch.setattr(suffix_dedup, "HOT_BUCKETS", hot)
+    r = random.Random(hot)
+    word = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    phrase, passages = word(30), [word(n) for n in (45, 60, 70, 90, 200)]
+    docs = [(k, word(r.randint(0, 90)) + phrase + word(r.randint(0, 60)) + r.choice(passages) + word(r.randint(0, 400))) for k in range(60)]
+    docs += [(60, passages[4] * 3), (61, word(5000)), (62, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    for match, gram in ((60, 24), (61, 25), (100, 40)):
+        got = [tuple(x) for x in removal_digests(df, match=match, gram=gram, bucket_bytes=1000).collect()]
+        assert sorted(got, key=_ORDER) == sorted(brute_removed(docs, match), key=_ORDER)
+
+
+def test_every_window_lies_in_one_block(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 150)
+    texts = [b"", b"a" * 40, prose(1, 60).encode(), b"b" * 120, prose(2, 200).encode(), b"", b"c" * 151, b"d" * 149, b"e" * 100]
+    got = []
+    for first, at, block, ends in suffix_dedup._blocks(texts, 100):
+        assert len(block) <= 150 + 99
+        begin = np.concatenate([[0], ends])
+        for low, high in zip(*anchors(block, ends, 100, 40)[2:], strict=True):
+            d = int(np.searchsorted(ends, low, side="right"))
+            got += [(first + d, at + s - int(begin[d])) for s in range(low, high + 1)]
+    assert sorted(got) == [(d, s) for d, t in enumerate(texts) for s in range(len(t) - 99)]
+
+
+def test_a_text_of_several_blocks(spark):
+    long = prose(6, 160_000)
+    docs = [(1, "start " + long[400_000:401_000]), (2, long + " and again " + long[900_000:1_000_000]), (3, long[1_040_000:1_060_000])]
+    assert len(long) > 2 * suffix_dedup.BLOCK_BYTES // 2
+    got = [tuple(x) for x in removal_digests(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert sorted(got, key=_ORDER) == sorted(brute_removed(docs, 100), key=_ORDER)
+
+
+def test_long_texts_need_little_more_than_themselves():
+    import tracemalloc
+
+    text = (prose(5, 40_000).encode() * 200)[:50_000_000]
+    tracemalloc.start()
+    try:
+        n = sum(len(anchors(block, ends, 100, 40)[0]) for _, _, block, ends in suffix_dedup._blocks([b"x" * 10, text, b""], 100))
+        peak = tracemalloc.get_traced_memory()[1]
+        assert n > 1_000_000 and peak < 300_000_000
+        tracemalloc.reset_peak()
+        assert len(near_dedup.word_hashes(text)) == len(text.split()) and tracemalloc.get_traced_memory()[1] < 1_000_000_000
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1 << 20])
+def test_word_hashes_in_blocks(block):
+    for text in (b"", b" ", b"a", b"one two  three ", b" \n" + prose(3, 50).encode(), b"x" * 200 + b" " + b"y" * 64):
+        got = near_dedup.word_hashes(text, block)
+        assert got.tolist() == near_dedup.word_hashes(text).tolist() and len(got) == len(text.split())
+        words = text.split()
+        assert len(set(got.tolist())) == len(set(words)) and all((a == b) == (x == y) for a, x in zip(got, words, strict=True) for b, y in zip(got, words, strict=True))
+
+
 def test_every_window_has_one_anchor():
     texts = [prose(3, 80).encode(), b"a" * 300, b"short", b"", prose(4, 50).encode()]
     g, at, low, high = anchors(b"".join(texts), np.cumsum([len(t) for t in texts]), 100, 40)
@@ -203,7 +268,9 @@ def brute_lines(docs, least):
     return out
 
 
-def test_lines(spark):
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_lines(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", broadcast)
     r = random.Random(8)
     stock = [f"line {k}" for k in range(30)] + ["", "  ", " line 1 ", "lïne\t"]
     docs = [(k, "\n".join(r.choice(stock) for _ in range(r.randint(0, 9))), r.choice([None, *[f"s{x}" for x in range(6)]])) for k in range(60)]
