@@ -9,6 +9,10 @@ class StaleRecord(LookupError):
     """A single-row update or delete that met no row."""
 
 
+class QueryTimeout(TimeoutError):
+    """A query that was stopped because it took too long."""
+
+
 class ConstraintError(ValueError):
     """Rows that break a constraint; ``errors`` says which fields and why."""
 

@@ -19,6 +19,12 @@ def _shift(moment: Column, sign: int, amount=None, unit: str = "day", **units) -
     return moment + length if sign > 0 else moment - length
 
 
+def start_of_day(at: Column, zone: str = "UTC") -> Column:
+    """The instant at which the day of an instant began in a zone, whatever the session's zone is."""
+    local = F.unix_micros(F.from_utc_timestamp(at, zone))
+    return F.to_utc_timestamp(F.timestamp_micros(local - F.pmod(local, F.lit(86_400_000_000))), zone)
+
+
 FUNCTIONS = {
     "duration": lambda **u: interval(**u),
     "ago": lambda amount=None, unit="day", **u: _shift(F.current_timestamp(), -1, amount, unit, **u),
@@ -26,5 +32,5 @@ FUNCTIONS = {
     "datetime_add": lambda at, amount=None, unit="day", **u: _shift(at, 1, amount, unit, **u),
     "datetime_sub": lambda at, amount=None, unit="day", **u: _shift(at, -1, amount, unit, **u),
     "date_add": lambda day, amount=None, unit="day", **u: _shift(day, 1, amount, unit, **u).cast("date"),
-    "start_of_day": lambda at, zone="UTC": F.to_utc_timestamp(F.date_trunc("DAY", F.from_utc_timestamp(at, zone)), zone),
+    "start_of_day": start_of_day,
 }

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.errors import PlanError
+from tessera.errors import PlanError, QueryTimeout
 from tessera.expr import Agg, Expr, Ref, all_of, ref
 from tessera.operators.paginate import after
 from tessera.plans.scope import _ASC, Scope, every, sort_keys
@@ -162,6 +164,29 @@ class Query:
             out.append(F.struct(*[c.alias(n) for n, c in chosen if n in hidden]).alias("calculations"))
         return scope.df.select(*out)
 
+    def collect(self, timeout: float | None = None) -> list:
+        """The result's rows. timeout: seconds after which its Spark jobs are cancelled."""
+        if timeout is None:
+            return self.to_df().collect()
+        context, tag, late = self.engine.spark.sparkContext, f"query-{uuid.uuid4().hex}", threading.Event()
+
+        def stop() -> None:
+            late.set()
+            context.cancelJobsWithTag(tag)
+
+        timer = threading.Timer(timeout, stop)
+        context.addJobTag(tag)
+        timer.start()
+        try:
+            return self.to_df().collect()
+        except Exception as e:
+            if late.is_set():
+                raise QueryTimeout(f"the query took more than {timeout} s") from e
+            raise
+        finally:
+            timer.cancel()
+            context.removeJobTag(tag)
+
     def _hidden(self, name: str) -> bool:
         calc = self.engine.domain[self.resource].find("calc", name)
         return calc is not None and not calc.public
