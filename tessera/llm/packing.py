@@ -4,12 +4,14 @@ Documents become pieces of at most ``capacity`` tokens. Pieces are dealt evenly
 a hash; each partition runs best-fit decreasing on exact sizes. Dual-feasible functions give a
 lower bound of what any packing of the partition's pieces needs: equal counts certify it.
 Partitions with a gap give the pieces of their bins that aren't full to an exchange, which deals
-them out anew, over fewer partitions each round, and packs them again; a new packing is taken only where it needs fewer
-bins. At the end the pieces of the loosest bin of every partition meet in one more exchange.
+them out anew to other partners and packs them again; exchanges go on for as long as they save bins. At the
+end the pieces of the loosest bin of every partition meet in one more. Each row says how many sequences the
+lengths of all pieces certify as the least, so what is left open can be seen.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,7 +27,6 @@ from tessera.llm.shared import drop_table, write_table
 CAPACITY = 2048
 #: Pieces of one partition of the packing.
 PARTITION_PIECES = 100_000
-EXCHANGE_ROUNDS = 3
 #: Distinct chunks that a worker remembers the ids of, in each of two generations.
 REMEMBERED = 700_000
 _STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
@@ -74,6 +75,44 @@ class ChunkIds(dict):
         return ids
 
 
+#: How a tokenizer normalises and splits that ChunkIds stands in for.
+_CHUNKED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+class WholeIds:
+    """Packed ids of whole texts, by a tokenizer of any kind."""
+
+    def __init__(self, tokenizer):
+        self.encode = tokenizer.encode
+
+    def packed(self, text: bytes) -> bytes:
+        return np.array(self.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def load(tokenizer_file: str) -> ChunkIds | WholeIds:
+    """By chunks where the tokenizer splits as ChunkIds takes for granted, else by whole texts."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_file)
+    with open(tokenizer_file, encoding="utf-8") as file:
+        told = json.load(file)
+    model = told["model"]
+    plain = model["type"] == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
+    special = all(t["content"].startswith("<|") and not t["normalized"] for t in told["added_tokens"])
+    if plain and special and all(told[k] == v for k, v in _CHUNKED.items()):
+        return ChunkIds(tokenizer, REMEMBERED)
+    return WholeIds(tokenizer)
+
+
 def tokenise(
     docs: DataFrame,
     tokenizer_file: str,
@@ -95,9 +134,7 @@ def tokenise(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer_file not in _LOADED:
-            from tokenizers import Tokenizer
-
-            _LOADED[tokenizer_file] = ChunkIds(Tokenizer.from_file(tokenizer_file), REMEMBERED)
+            _LOADED[tokenizer_file] = load(tokenizer_file)
         known = _LOADED[tokenizer_file]
         for batch in batches:
             rows = []
@@ -143,15 +180,19 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, n
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """The best of two families of dual-feasible functions: no packing has fewer bins.
+def lower_bound(lengths: np.ndarray | dict[int, int], capacity: int) -> int:
+    """lengths: of the pieces, or how many pieces have each. The best of two families of dual-feasible functions: no packing has fewer bins.
 
     Family one drops pieces under a threshold and counts those above capacity minus threshold as
     whole bins. Family two rounds lengths to multiples of capacity / (k + 1), down unless exact.
     """
     if not len(lengths):
         return 0
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    if isinstance(lengths, dict):
+        count = np.zeros(capacity + 1, np.int64)
+        count[list(lengths)] = list(lengths.values())
+    else:
+        count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     number = np.concatenate([[0], np.cumsum(count)])  # number[s]: pieces under s
     mass = np.concatenate([[0], np.cumsum(count * np.arange(capacity + 1))])
     low = np.arange(1, capacity // 2 + 1)
@@ -176,8 +217,8 @@ _PACKED = pa.schema(
 _PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
-def _pack(pieces: DataFrame, parts: int, capacity: int) -> DataFrame:
-    """Deals pieces over parts by a hash and packs each part."""
+def _pack(pieces: DataFrame, parts: int, capacity: int, turn: int = 0) -> DataFrame:
+    """Deals pieces over parts by a hash, another each turn, and packs each part."""
 
     def one(group: pa.Table) -> pa.Table:
         group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
@@ -189,7 +230,7 @@ def _pack(pieces: DataFrame, parts: int, capacity: int) -> DataFrame:
                 "gap": np.full(len(lengths), gap), "bins": np.full(len(lengths), n)}
         return pa.table([group.column(f.name) if f.name not in more else pa.array(more[f.name], f.type) for f in _PACKED], schema=_PACKED)
 
-    dealt = pieces.select(*_PIECE, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).alias("part"))
+    dealt = pieces.select(*_PIECE, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(parts)).alias("part"))
     return dealt.groupBy("part").applyInArrow(one, from_arrow_schema(_PACKED))
 
 
@@ -203,52 +244,57 @@ def pack(
     pieces: DataFrame,
     capacity: int = CAPACITY,
     partition_pieces: int = PARTITION_PIECES,
-    rounds: int = EXCHANGE_ROUNDS,
+    rounds: int | None = None,
 ) -> DataFrame:
-    """Pieces with sequence_id and offset; every sequence is filled gaplessly from 0.
+    """Pieces with sequence_id and offset, and least_sequences, the bound of all pieces together; every
+    sequence is filled gaplessly from 0. rounds: of exchanges, at most; by default as many as save bins.
 
     A third of all pieces being alike doesn't skew a partition: pieces are dealt by a hash of
     document and piece. Repeated rows are packed as often as they occur. An empty table stays
     empty.
     """
     pieces = write_table(pieces.select(*_PIECE), "pieces")
-    parts = max(1, -(-pieces.count() // partition_pieces))
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
+    least = lower_bound(counts, capacity)
+    parts = max(1, -(-sum(counts.values()) // partition_pieces))
     packed = write_table(_pack(pieces, parts, capacity), "packed")
     drop_table(pieces)
     settled: list[DataFrame] = []
-    for turn in range(rounds):
+    turn, going = 0, parts > 1 and rounds != 0
+    while going:
+        going = rounds is None or turn + 1 < rounds
         loose = (F.col("fill") < capacity) & ((F.col("gap") > 0) | F.col("loosest"))
         pool = packed.filter(loose)
         n, bins = _count(pool)
         if bins < 2:
             break
-        parts = max(1, min(parts // 2, -(-n // partition_pieces)))
-        again = write_table(_pack(pool, parts, capacity), "packed")
-        if _count(again)[1] < bins:
-            settled.append(_numbered(packed.filter(~loose), turn))
-            packed = again
-        else:
+        turn += 1
+        fewer = max(1, -(-n // partition_pieces))
+        again = write_table(_pack(pool, fewer, capacity, turn), "packed")
+        if _count(again)[1] >= bins:
             drop_table(again)
-            if parts == 1:
-                break
+            break
+        settled.append(_numbered(packed.filter(~loose), turn))
+        packed, parts = again, fewer
+        going = going and parts > 1
     # the loosest bins of the parts that are left: one bin a part, so they fit in one partition
     loose = (F.col("fill") < capacity) & F.col("loosest")
-    if rounds and parts > 1:
+    if parts > 1 and rounds != 0:
         pool = packed.filter(loose)
         bins = _count(pool)[1]
         if bins > 1:
             again = write_table(_pack(pool, 1, capacity), "packed")
             if _count(again)[1] < bins:
-                settled.append(_numbered(packed.filter(~loose), rounds))
+                settled.append(_numbered(packed.filter(~loose), turn + 1))
                 packed = again
             else:
                 drop_table(again)
-    out = _numbered(packed, rounds + 1)
+    out = _numbered(packed, 0)
     for more in settled:
         out = out.unionByName(more)
-    return out
+    return out.withColumn("least_sequences", F.lit(least).cast("long"))
 
 
 def _numbered(packed: DataFrame, turn: int) -> DataFrame:
-    number = F.lit(turn).cast("long") * F.lit(1 << 58) + F.col("part") * F.lit(1 << 32) + F.col("bin")
+    number = F.lit(turn).cast("long") * F.lit(1 << 52) + F.col("part") * F.lit(1 << 20) + F.col("bin")
     return packed.select(*_PIECE, number.alias("sequence_id"), "offset")

@@ -137,6 +137,37 @@ def test_loosest_bins_meet_at_the_end(spark):
     assert sorted(r.doc_id for r in packed) == list(range(602)) and check_sequences(packed) == 151
 
 
+def test_exchanges_go_on_until_none_saves_a_bin(spark):
+    """Many parts, each with a gap of its own; all rows state the bound, which the packing comes close to."""
+    r = random.Random(11)
+    items = [(k, 0, 0, r.choice((300, 690, 700, 900, 1100, 1350)), k) for k in range(1500)]
+    df = spark.createDataFrame(items, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    done = {n: pack(df, partition_pieces=30, rounds=n).collect() for n in (0, 1, None)}
+    used = {n: check_sequences(rows) for n, rows in done.items()}
+    least = lower_bound(np.array([i[3] for i in items]), CAPACITY)
+    assert {x.least_sequences for rows in done.values() for x in rows} == {least}
+    assert least <= used[None] <= used[1] < used[0]
+    assert all(sorted(x.doc_id for x in rows) == list(range(1500)) for rows in done.values())
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    from tessera.llm.packing import WholeIds, load
+
+    assert isinstance(load(WORDS), ChunkIds)
+    told = json.load(open(WORDS, encoding="utf-8"))
+    told["normalizer"]["normalizers"].pop()  # no lower-casing
+    other = str(tmp_path / "other.json")
+    json.dump(told, open(other, "w", encoding="utf-8"))
+    assert isinstance(load(other), WholeIds)
+    for text in ("Don't SHOUT, please. <|endoftext|> ok", "", "ÄÖ  ü"):
+        want = Tokenizer.from_file(other).encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(load(other).packed(text.encode()), "<u4").tolist() == want
+
+
 def test_chunk_ids_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
