@@ -11,11 +11,16 @@ def get_path(value: Column, key) -> Column:
     return F.get(value, F.lit(key)) if isinstance(key, int) else value[key]
 
 
+def intersects(a: Column, b: Column, of: str | None = None) -> Column:
+    """Whether two lists share an element. of: the type that both are brought to, where theirs differ."""
+    return F.arrays_overlap(a.cast(f"array<{of}>"), b.cast(f"array<{of}>")) if of else F.arrays_overlap(a, b)
+
+
 FUNCTIONS = {
     "at": lambda a, i: F.get(a, i),
     "length": lambda a: F.size(a),
     "count_nils": lambda a: F.size(F.filter(a, lambda x: x.isNull())),
-    "intersects": lambda a, b: F.arrays_overlap(a, b),
+    "intersects": intersects,
     "has": lambda a, x: F.array_contains(a, x),
     "list": lambda *a: F.array(*a),
     "get_path": get_path,

@@ -44,7 +44,17 @@ def adjacent(a: Column, b: Column) -> Column:
     return ~a["empty"] & ~b["empty"] & (meets(a, b) | meets(b, a))
 
 
+def sort_key(r: Column) -> Column:
+    """A struct in the order of ranges: empty ones, then by lower bound, unbounded first, then by upper
+    bound, unbounded last; of equal bounds the one that begins earlier or ends later counts as such."""
+    return F.when(r.isNotNull(), F.struct(
+        (~r["empty"]).alias("a"), F.when(~r["empty"], r["lower"]).alias("b"), F.when(~r["empty"], ~r["lower_inc"]).alias("c"),
+        F.when(~r["empty"], r["upper"].isNull()).alias("d"), F.when(~r["empty"], r["upper"]).alias("e"), F.when(~r["empty"], r["upper_inc"]).alias("f"),
+    ))
+
+
 FUNCTIONS = {
+    "range_sort_key": sort_key,
     "range": make,
     "range_overlaps": overlaps,
     "range_contains": contains_point,

@@ -22,8 +22,16 @@ def _either(a: Column, b: Column) -> Column:
     return F.when(a.isNull(), b).otherwise(a)
 
 
+def _uuid_v7() -> Column:
+    """Milliseconds of the statement's time, then random bits: later statements' ids sort behind."""
+    time = F.lpad(F.lower(F.hex(F.unix_millis(F.current_timestamp()))), 12, "0")
+    random = F.uuid()
+    return F.concat(F.substring(time, 1, 8), F.lit("-"), F.substring(time, 9, 4), F.lit("-7"), F.substring(random, 16, 3), F.lit("-"), F.substring(random, 20, 17))
+
+
 FUNCTIONS.update(
     {
+        "uuid_v7": _uuid_v7,
         "idiv": lambda a, b: F.call_function("div", a, b),
         "eq": lambda a, b: a == b,
         "ne": lambda a, b: a != b,

@@ -80,6 +80,7 @@ FUNCTIONS = {
     "string_position": position,
     "string_length": lambda a: F.length(a),
     "string_trim": lambda a: F.trim(a),
+    "trim_whitespace": lambda a: F.btrim(a, F.lit(" \t\n\x0b\x0c\r")),
     "string_downcase": lambda a: F.lower(a),
     "string_upcase": lambda a: F.upper(a),
     "string_join": lambda *a, sep="": F.concat_ws(sep, *a),

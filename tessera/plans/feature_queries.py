@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.expr import actor, agg, call, cond, context, exists, fragment, if_, parent, ref, tenant
+from tessera.expr import actor, agg, call, cond, context, exists, fragment, if_, map_of, parent, ref, tenant
 from tessera.functions.ranges import make
 from tessera.functions.registry import register
 from tessera.operators.load import load_related, summarise_related
@@ -219,6 +219,11 @@ _add(
     """SELECT id, NOT empty AND lo <= 6 AND coalesce(6 < hi, true) AS has, NOT empty AND lo < 5 AND coalesce(hi > 3, true) AS over, empty OR (lo >= 2 AND coalesce(hi <= 9, false)) AS inside, lo, hi
     FROM (SELECT *, coalesce(lo >= hi, false) AS empty FROM (SELECT o_orderkey AS id, o_orderkey % 11 AS lo, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 11 + o_custkey % 7 - 1 END AS hi FROM orders))""",
 )
+_add(
+    "range_order", "order", lambda q: _stays(q).sort(call("range_sort_key", ref("days")), "id").limit(200).select("id"),
+    """SELECT id FROM (SELECT *, coalesce(lo >= hi, false) AS empty FROM (SELECT o_orderkey AS id, o_orderkey % 11 AS lo, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 11 + o_custkey % 7 - 1 END AS hi FROM orders))
+    ORDER BY NOT empty, CASE WHEN NOT empty THEN lo END NULLS FIRST, CASE WHEN NOT empty THEN hi END NULLS LAST, id LIMIT 200""",
+)
 _words = "regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')".replace("{{", "{").replace("}}", "}")
 _add(
     "text_match", "benchmark", lambda q: q.filter(call("text_match", ref("text"), query="(the | of) & !and")).select("item_id"),
@@ -239,6 +244,27 @@ _add(
     """SELECT c_custkey, 3 AS n, r_name = 'ASIA' AS below, CASE WHEN r_name = 'ASIA' THEN 'ASIA' ELSE '' END AS root, c_name || '-é_' AS back
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
+_add(
+    "calc_composite", "customer",
+    lambda q: q.calculate(p=call("type", map_of(key=ref("c_nationkey"), rest=ref("c_acctbal")), to="struct<key:bigint,rest:decimal(18,2)>")).select("c_custkey").to_df().select("c_custkey", F.col("p.key").alias("k"), F.col("p.rest").alias("r")),
+    "SELECT c_custkey, c_nationkey::BIGINT AS k, c_acctbal::DECIMAL(18,2) AS r FROM customer",
+)
+_BIO = Resource("biography", (A("id", "integer", primary_key=True), A("bio", "map")), table="biographies")
+_add(
+    "filter_embedded", "customer",
+    lambda q: _on(q, _BIO, _rows(q, "customer").select(F.col("c_custkey").alias("id"), F.struct(F.col("c_mktsegment").alias("segment"), F.struct(F.col("c_acctbal").alias("balance")).alias("money")).alias("bio")))
+    .filter(ref("bio")["segment"] == "BUILDING", ref("bio")["money"]["balance"] > 100).select("id"),
+    "SELECT c_custkey AS id FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 100",
+)
+_add(
+    "filter_intersects_mixed", "customer", lambda q: q.filter(call("intersects", call("list", ref("c_nationkey"), 100), call("list", "3", "4"), of="string")).select("c_custkey"),
+    "SELECT c_custkey FROM customer WHERE c_nationkey IN (3, 4)",
+)
+_add(
+    "calc_whitespace_and_ids", "nation", lambda q: q.calculate(t=call("trim_whitespace", call("concat", "\t ", ref("n_name"), "\n")), u=call("uuid_v7")).select("n_nationkey").to_df()
+    .select("n_nationkey", "t", F.col("u").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-7[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$").alias("u")),
+    "SELECT n_nationkey, n_name AS t, true AS u FROM nation",
+)
 register("halved", lambda a: a / 2)
 _add("custom_expression", "customer", lambda q: q.calculate(h=call("halved", ref("c_acctbal"))).select("c_custkey"), "SELECT c_custkey, c_acctbal / 2 AS h FROM customer")
 _add(
