@@ -14,6 +14,7 @@ WHITESPACE = " \t\n\x0b\x0c\r"
 #: A table of so many rows is broadcast; beyond, its join is salted.
 BROADCAST_ROWS = 100_000
 SALTS = 16
+MAX_LABELS = 4096
 
 _fallback: list[str] = []
 _written: list[tuple[SparkSession, str]] = []
@@ -99,11 +100,14 @@ def let(value: Column, body) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """The words [^\\x20\\x09-\\x0D]+ of a text; null and blank texts have none."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITESPACE))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, "[\\x20\\x09-\\x0D]+")
-    )
+    """The words [^\\x20\\x09-\\x0D]+ of a text; null and blank texts have none.
+
+    Plain replacements and a split at one character need no pattern engine.
+    """
+    spaced = F.coalesce(text, F.lit(""))
+    for c in WHITESPACE[1:]:
+        spaced = F.replace(spaced, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def by_slices(work, rows: int = 1000):
@@ -129,5 +133,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def even_labels(spark: SparkSession, count: int) -> list[int]:
+    """One integer for each of so many shuffle partitions, such that a shuffle by them puts one in each.
+
+    Spark deals integers by a hash, which would put five of fifty groups into one of fifty tasks. Beyond
+    MAX_LABELS the numbers themselves do: few of that many tasks run at once anyway.
+    """
+    if count > MAX_LABELS:
+        return list(range(count))
+    found: dict[int, int] = {}
+    span = max(1024, 16 * count)
+    while len(found) < count:
+        rows = spark.range(span).select(F.col("id").cast("int").alias("label"))
+        rows = rows.groupBy(F.pmod(F.hash("label"), F.lit(count)).alias("slot")).agg(F.min("label").alias("label"))
+        found = {r["slot"]: r["label"] for r in rows.collect()}  # MAX_LABELS rows at most
+        span *= 4
+    return [found[slot] for slot in sorted(found)]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -31,14 +31,18 @@ def test_warc(spark, tmp_path):
     assert sorted((g[:3] for g in got), key=repr) == sorted(((p, len((h or "").encode()), sha(h)) for p, _, h in pages), key=repr)
     kinds = sorted(((p, k, to) for p, _, _, k, to in got), key=repr)
     assert kinds == sorted([(1, "revisit", 2), (2, "revisit", 2), (2, "response", None), (3, "response", None), (4, "response", None), (5, "response", None), (None, "revisit", 2), (-6, "revisit", 7), (7, "response", None)], key=repr)
-    seen = 0
+    seen, ids, refers = 0, [], set()
     for f in spark.read.format("binaryFile").load(folder).collect():
         for _, _, raw in members(bytes(f.content)):
             fields, size, payload = parse(raw)
             seen += 1
             assert (len(payload) == size) == (fields["WARC-Type"] == "response" or size == 0)
             assert ("WARC-Refers-To" in fields) == (fields["WARC-Type"] == "revisit")
-    assert seen == len(pages)
+            ids.append((fields["WARC-Record-ID"], fields["WARC-Type"]))
+            refers |= {fields["WARC-Refers-To"]} if "WARC-Refers-To" in fields else set()
+            assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+    assert seen == len(pages) == len(set(ids)) and len({i for i, _ in ids}) == len(pages)
+    assert refers <= {i for i, kind in ids if kind == "response"}
     assert resolved_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
@@ -142,6 +146,7 @@ def test_neighbours_are_complete(spark, monkeypatch, few, tables, probes):
     """Small lengths are exact, whatever the norms; elsewhere no query has fewer than k while there are more."""
     monkeypatch.setattr(ann, "FEW_VECTORS", few)
     monkeypatch.setattr(ann, "CELL_VECTORS", 100)
+    monkeypatch.setattr(ann, "NORM_SPREAD", float("inf"))
     r = np.random.default_rng(5)
     items = [(1000 * dim + k, [float(x) for x in r.lognormal() * r.normal(size=dim)]) for dim, n in ((7, 5), (8, 8), (9, 11), (10, 15), (16, 400)) for k in range(n)]
     df = spark.createDataFrame(items, "vec_id long, embedding array<double>")
@@ -283,3 +288,37 @@ def test_recall_and_work_on_embeddings(spark, folder):
     if len(items) > ann.FEW_VECTORS:
         share = ann.compared(df, asked).agg(F.avg(F.col("compared") / F.col("n")).alias("share")).first()["share"]
         assert 0 < share <= 0.1
+
+
+def test_quality_rules_by_a_reference(spark):
+    """Vocabularies are the words of most documents; against trusted texts a corpus of junk isn't its own norm."""
+    from tessera.llm.quality_rules import vocabularies
+
+    r = np.random.default_rng(4)
+    common, rare = [f"w{k}" for k in range(20)], [f"x{k}" for k in range(400)]
+    good = [" ".join(r.choice(common if r.random() < 0.6 else rare) for _ in range(200)) for _ in range(60)]
+    junk = [" ".join(r.choice(rare) for _ in range(200)) for _ in range(60)]
+    make = lambda texts, lang="en": spark.createDataFrame([(k, t, lang) for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    (row,) = vocabularies(make([*good, "w1 " * 19, "zz " * 5000]), "text", "lang").collect()
+    counts = {w: sum(w in set(t.split()) for t in good) for w in [*common, *rare]}
+    assert row.vocabulary == sorted(counts, key=lambda w: (-counts[w], w))[:16]
+    held = quality_rules(make([*good[:30], *junk]), reference=make(good)).collect()
+    assert [x.kept for x in sorted(held, key=lambda x: x.doc_id)] == [True] * 30 + [False] * 60
+    assert all(x.kept for x in quality_rules(make(junk)).collect())  # by itself, junk looks like junk
+    assert all(x.kept and x.char_js is None for x in quality_rules(make(junk, "xx"), reference=make(good)).collect())
+
+
+@pytest.mark.parametrize(("norms", "least"), [(0.0, 0.9), (0.03, 0.9), (0.3, 1.0), (1.0, 1.0)])
+def test_recall_with_unequal_norms(spark, norms, least):
+    r = np.random.default_rng(7)
+    x = r.normal(size=(3000, 32))
+    x *= (r.lognormal(0, norms, len(x)) / np.linalg.norm(x, axis=1))[:, None]
+    df = spark.createDataFrame([(k, [float(v) for v in y]) for k, y in enumerate(x)], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for row in nearest(df, df.filter("vec_id % 100 = 0")).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    hits = 0
+    for q in range(0, 3000, 100):
+        away = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        hits += len(got[q] & set([k for k in np.lexsort((np.arange(3000), away)).tolist() if k != q][:10]))
+    assert hits >= least * 300
