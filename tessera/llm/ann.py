@@ -8,7 +8,8 @@ about their root of them. A vector that it meets in more cells than an unrelated
 
 Vectors lie in blocks. What a query met in a block goes there as ids, and the block ranks the
 candidates by exact distance and hands on only the nearest. Queries that have too few candidates, and all of
-a length with few vectors, are compared with every vector of their length, block by block.
+a length with few vectors or with norms that differ, which cells of directions can't tell apart, are compared with every
+vector of their length, block by block.
 
 Of equal vectors only the smallest ids can be among the nearest, so no more copies than that are
 indexed, and equal queries are searched once.
@@ -34,6 +35,8 @@ SEED = 20240229
 CELL_VECTORS = 4096
 #: Lengths with at most so many vectors are searched exactly: fewer comparisons than cells to visit.
 FEW_VECTORS = 1024
+#: Lengths whose norms deviate from their mean by more than this share (standard deviation) are searched exactly too.
+NORM_SPREAD = 0.05
 #: How often a query meets an unrelated vector on average: so often among MEETINGS_AT vectors, less among more, with their root.
 MEETINGS, MEETINGS_AT, MEETINGS_POWER = 0.5, 2048, 0.5
 #: Axes of each hash that a query's cells are made of.
@@ -214,10 +217,11 @@ def prepared(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: st
     indexed = write_table(indexed.select("id", "vector", "dim"), "vectors")
     asked = write_table(_sound(queries, id_col, vector_col).distinct(), "asked")
     classes = asked.groupBy("vector", "dim").agg(F.min("id").alias("id"))
-    pieces = lambda df, name: df.groupBy("dim").agg(
-        F.count(F.lit(1)).alias(f"n_{name}"), F.ceil(F.count(F.lit(1)) / F.lit(CELL_VECTORS)).cast("int").alias(name)
-    )
-    sizes = pieces(indexed, "blocks").join(pieces(classes, "parts"), "dim").withColumnRenamed("n_blocks", "n").drop("n_parts")
+    pieces = F.ceil(F.count(F.lit(1)) / F.lit(CELL_VECTORS)).cast("int")
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
+    spread = F.try_divide(F.stddev_pop(norm), F.avg(norm))
+    sizes = indexed.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), pieces.alias("blocks"), spread.alias("spread"))
+    sizes = sizes.join(classes.groupBy("dim").agg(pieces.alias("parts")), "dim")
     sizes = write_table(sizes, "sizes")  # a row for each length
     dealt = lambda by: F.pmod(F.xxhash64("id"), F.col(by)).cast("int")
     index = write_table(indexed.join(sizes, "dim").withColumn("block", dealt("blocks")), "index")
@@ -236,8 +240,8 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each query, its own id excepted.
 
-    A query gets all candidates if there are fewer than k, and k otherwise. Up to FEW_VECTORS vectors
-    of a length the result is exact; beyond, cells go by direction and so find less where norms differ.
+    A query gets all candidates if there are fewer than k, and k otherwise. The result is exact up to
+    FEW_VECTORS vectors of a length, and where their norms differ (NORM_SPREAD).
 
     queries has the same columns as vectors. Null and zero vectors, and those with a null or
     non-finite component, take no part; vectors meet only others of their length. Null ids take no
@@ -245,7 +249,7 @@ def nearest(
     give an empty result. Other columns are ignored.
     """
     index, asked, asking = prepared(vectors, queries, id_col, vector_col, k)
-    many = F.col("n") > FEW_VECTORS
+    many = (F.col("n") > FEW_VECTORS) & F.coalesce(F.col("spread") <= NORM_SPREAD, F.lit(False))
     key = ["dim", "block", "part"]
     spread: Column = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     blocks = index.withColumn("part", spread).select(*key, "id", "vector")
