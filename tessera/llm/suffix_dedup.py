@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from tessera.llm.near_dedup import _BYTE, _powers, mix
-from tessera.llm.shared import shuffle_partitions
+from tessera.llm.shared import MAX_LABELS, even_labels, shuffle_partitions
 
 MATCH_BYTES = 100
 GRAM_BYTES = 40
@@ -278,7 +278,11 @@ def remove_repeats(
     held = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_carry_{c}") for c in carry])
     # rows are named by their content: the same in every branch of the plan and after a lost executor
     content = [F.xxhash64(F.lit(k), *held.columns).alias(n) for k, n in enumerate(("_a", "_b"))]
-    dealt = held.select("*", *content).withColumn("bucket", F.pmod("_a", F.lit(parts)).cast("int"))
+    labels = even_labels(spark, parts)
+    bucket = F.pmod("_a", F.lit(parts)).cast("int")
+    if parts <= MAX_LABELS:
+        bucket = F.get(F.split(F.lit(",".join(map(str, labels))), ",").cast("array<int>"), bucket)
+    dealt = held.select("*", *content).withColumn("bucket", bucket)
 
     def in_order(table: pa.Table) -> pa.Table:
         """A bucket's rows in an order that depends on their content only; a row's place is its number."""
@@ -296,7 +300,7 @@ def remove_repeats(
         order = np.argsort(to, kind="stable")
         h, to = h[order], to[order]
         at = np.flatnonzero(np.diff(to, prepend=-1))
-        rows = [(int(to[s]), bucket, _pack48(h[s:e]), None) for s, e in zip(at, [*at[1:], len(h)], strict=True)] if len(h) else []
+        rows = [(labels[int(to[s])], bucket, _pack48(h[s:e]), None) for s, e in zip(at, [*at[1:], len(h)], strict=True)] if len(h) else []
         return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_GRAMS)], schema=_GRAMS)
 
     def in_several(table: pa.Table) -> pa.Table:
@@ -354,9 +358,9 @@ def remove_repeats(
         out = []
         for part, run in by_part.items():
             places = np.array([first_at[key][1:] for key in run], "<i8").tobytes()
-            out.append((part, bucket, *front_code(run), places, None))
+            out.append((labels[part], bucket, *front_code(run), places, None))
         if marks:
-            out.append((bucket % parts, bucket, None, None, None, None, np.array(marks, "<i8").tobytes()))
+            out.append((labels[bucket % parts], bucket, None, None, None, None, np.array(marks, "<i8").tobytes()))
         return pa.Table.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_RUNS)], schema=_RUNS)
 
     def merged(table: pa.Table) -> pa.Table:
@@ -413,11 +417,14 @@ def remove_repeats(
         columns = [pa.chunked_array([pa.array([f[n.name] for f in found], n.type)]) for n in result_schema]
         return pa.Table.from_arrays([table.column("_id"), *[table.column(f.name) for f in carried], *columns], schema=out_schema)
 
+    # a task for each bucket, however many there are
+    dealt = dealt.repartition(parts, "bucket")
+    by = lambda df, name: df.repartition(parts, name).groupBy(name)
     grams = dealt.groupBy("bucket").applyInArrow(count_grams, from_arrow_schema(_GRAMS))
-    common = grams.groupBy("part").applyInArrow(in_several, from_arrow_schema(_GRAMS))
-    runs = dealt.groupBy("bucket").cogroup(common.groupBy("bucket")).applyInArrow(sorted_runs, from_arrow_schema(_RUNS))
-    marks = runs.groupBy("part").applyInArrow(merged, from_arrow_schema(_MARKS))
-    return dealt.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(cut, from_arrow_schema(out_schema))
+    common = by(grams, "part").applyInArrow(in_several, from_arrow_schema(_GRAMS))
+    runs = dealt.groupBy("bucket").cogroup(by(common, "bucket")).applyInArrow(sorted_runs, from_arrow_schema(_RUNS))
+    marks = by(runs, "part").applyInArrow(merged, from_arrow_schema(_MARKS))
+    return dealt.groupBy("bucket").cogroup(by(marks, "bucket")).applyInArrow(cut, from_arrow_schema(out_schema))
 
 
 def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:

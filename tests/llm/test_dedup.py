@@ -291,3 +291,12 @@ def test_lines_of_awkward_documents(spark):
     assert kept[1].text and not kept[1].n_removed and kept[3].n_removed == 1 and kept[None].text == "" and kept[4].text is None
     assert remove_boilerplate(empty(spark)).count() == 0
     assert blank(kept[6].text)
+
+
+@pytest.mark.parametrize("count", [1, 3, 50, 5000])
+def test_even_labels(spark, count):
+    labels = shared.even_labels(spark, count)
+    assert len(labels) == len(set(labels)) == count
+    if count < shared.MAX_LABELS:
+        df = spark.createDataFrame([(x,) for x in labels], "x int").repartition(count, "x")
+        assert df.selectExpr("spark_partition_id() AS p").distinct().count() == count
