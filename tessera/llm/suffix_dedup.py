@@ -34,13 +34,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from tessera.llm.near_dedup import _BYTE, _powers, mix
-from tessera.llm.shared import MAX_LABELS, even_labels, shuffle_partitions
+from tessera.llm.shared import MAX_LABELS, even_labels, freeing, shuffle_partitions
 
 MATCH_BYTES = 100
 GRAM_BYTES = 40
 BUCKET_BYTES = 16 << 20
-#: Documents are hashed together up to so many bytes.
-BLOCK_BYTES = 1 << 20
+#: Documents are hashed together up to so many bytes; hashing holds about a hundred times as much for a moment.
+BLOCK_BYTES = 1 << 17
+#: So many texts are cut at once.
+CUT_ROWS = 256
 #: A gram in so many buckets is split by the bytes around it.
 HOT_BUCKETS = 16
 #: Not a byte of UTF-8.
@@ -250,6 +252,13 @@ def _unpack48(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(_U)
 
 
+def _places(raw: bytes) -> Iterator[list[int]]:
+    """Rows of four integers, some at a time."""
+    rows = np.frombuffer(raw, "<i8").reshape(-1, 4)
+    for at in range(0, len(rows), 1024):
+        yield from rows[at : at + 1024].tolist()
+
+
 def _texts(table: pa.Table) -> list[bytes]:
     return [x or b"" for x in table.column("_text").cast(pa.binary()).to_pylist()]
 
@@ -317,20 +326,24 @@ def remove_repeats(
         if not table.num_rows:
             return _RUNS.empty_table()
         bucket = table.column("bucket")[0].as_py()
-        table = in_order(table)
+        table = in_order(table.select(["_id", "_a", "_b", "_text"]))
         ids = [(1 << 63) - 1 if i is None else i for i in table.column("_id").to_pylist()]
         content = table.column("_a").to_pylist()
         texts = _texts(table)
+        del table
         unpacked = lambda name: np.sort(np.concatenate([np.zeros(0, _U), *[_unpack48(x) for x in common.column(name).to_pylist()]]))
         elsewhere, hot = unpacked("grams"), unpacked("hot")
         found = list(bucket_anchors(texts))
+        del texts
         every = np.sort(np.concatenate([np.zeros(0, _U), *[f[4] for f in found]]) >> _U(64 - _GRAM_BITS))
         here = np.unique(every[1:][every[1:] == every[:-1]])
         often = np.union1d(elsewhere, here)
         first_at: dict[bytes, tuple] = {}
         marks: list[tuple[int, int, int]] = []
         half = (match - gram) // 2
-        for first, at, block, ends, g, x, low, high in found:
+        found.reverse()
+        while found:  # a block goes when its suffixes are taken
+            first, at, block, ends, g, x, low, high = found.pop()
             h = g >> _U(64 - _GRAM_BITS)
             keep = np.isin(h, often)
             doc = np.searchsorted(ends, x[keep], side="right")
@@ -357,7 +370,7 @@ def remove_repeats(
             by_part.setdefault(first_at[key][0], []).append(key)
         out = []
         for part, run in by_part.items():
-            places = np.array([first_at[key][1:] for key in run], "<i8").tobytes()
+            places = np.array([first_at.pop(key)[1:] for key in run], "<i8").tobytes()
             out.append((labels[part], bucket, *front_code(run), places, None))
         if marks:
             out.append((labels[bucket % parts], bucket, None, None, None, None, np.array(marks, "<i8").tobytes()))
@@ -366,10 +379,7 @@ def remove_repeats(
     def merged(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         runs = [r for r in rows if r["rests"] is not None]
-        places = [np.frombuffer(r["places"], "<i8").reshape(-1, 4).tolist() for r in runs]
-        for r, p in zip(runs, places, strict=True):
-            p.reverse()
-            r["own"] = p
+        own = [_places(r["places"]) for r in runs]
         marks: dict[int, list[tuple[int, int, int]]] = {}
 
         def settle(group: list[Suffix]) -> None:
@@ -380,7 +390,7 @@ def remove_repeats(
         group: list[Suffix] = []
         before = b""
         for key, shared, run in merge([front_decode(r["shared"], r["lengths"], r["rests"]) for r in runs]):
-            place = (*runs[run]["own"].pop(), runs[run]["bucket"])
+            place = (*next(own[run]), runs[run]["bucket"])
             if shared == len(key) == len(before):
                 last = group[-1]
                 late, early = (place, last.place) if place > last.place else (last.place, place)
@@ -413,18 +423,22 @@ def remove_repeats(
             for s, e in zip(at, [*at[1:], len(every)], strict=True):
                 spans[int(every[s, 0])] = _spans(every[s:e, 1:])
         table = in_order(table)
-        found = [finish(t, spans.get(row, [])) for row, t in enumerate(_texts(table))]
-        columns = [pa.chunked_array([pa.array([f[n.name] for f in found], n.type)]) for n in result_schema]
+        chunks: list[list[pa.Array]] = [[] for _ in result_schema]
+        for at in range(0, table.num_rows, CUT_ROWS):
+            found = [finish(t, spans.get(row, [])) for row, t in enumerate(_texts(table.slice(at, CUT_ROWS)), at)]
+            for chunk, n in zip(chunks, result_schema, strict=True):
+                chunk.append(pa.array([f[n.name] for f in found], n.type))
+        columns = [pa.chunked_array(chunk, n.type) for chunk, n in zip(chunks, result_schema, strict=True)]
         return pa.Table.from_arrays([table.column("_id"), *[table.column(f.name) for f in carried], *columns], schema=out_schema)
 
     # a task for each bucket, however many there are
     dealt = dealt.repartition(parts, "bucket")
     by = lambda df, name: df.repartition(parts, name).groupBy(name)
-    grams = dealt.groupBy("bucket").applyInArrow(count_grams, from_arrow_schema(_GRAMS))
-    common = by(grams, "part").applyInArrow(in_several, from_arrow_schema(_GRAMS))
-    runs = dealt.groupBy("bucket").cogroup(by(common, "bucket")).applyInArrow(sorted_runs, from_arrow_schema(_RUNS))
-    marks = by(runs, "part").applyInArrow(merged, from_arrow_schema(_MARKS))
-    return dealt.groupBy("bucket").cogroup(by(marks, "bucket")).applyInArrow(cut, from_arrow_schema(out_schema))
+    grams = dealt.groupBy("bucket").applyInArrow(freeing(count_grams), from_arrow_schema(_GRAMS))
+    common = by(grams, "part").applyInArrow(freeing(in_several), from_arrow_schema(_GRAMS))
+    runs = dealt.groupBy("bucket").cogroup(by(common, "bucket")).applyInArrow(freeing(sorted_runs), from_arrow_schema(_RUNS))
+    marks = by(runs, "part").applyInArrow(freeing(merged), from_arrow_schema(_MARKS))
+    return dealt.groupBy("bucket").cogroup(by(marks, "bucket")).applyInArrow(freeing(cut), from_arrow_schema(out_schema))
 
 
 def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:

@@ -300,3 +300,25 @@ def test_even_labels(spark, count):
     if count < shared.MAX_LABELS:
         df = spark.createDataFrame([(x,) for x in labels], "x int").repartition(count, "x")
         assert df.selectExpr("spark_partition_id() AS p").distinct().count() == count
+
+
+def test_hashing_a_bucket_holds_little_besides_it():
+    import tracemalloc
+
+    texts = [prose(k, 300).encode() for k in range(50)] * 40
+    size = sum(map(len, texts))
+    assert size > 3_000_000
+    tracemalloc.start()
+    try:
+        found = [(block, *anchors(block, ends, 100, 40)) for _, _, block, ends in suffix_dedup._blocks(texts, 100)]
+        assert sum(len(f[1]) for f in found) > size // 50 and tracemalloc.get_traced_memory()[1] < 3 * size + 30_000_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_rows_cut_some_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CUT_ROWS", 3)
+    shared = prose(9, 40)
+    docs = [(k, None if k % 7 == 0 else prose(100 + k, 10) + shared + prose(200 + k, k)) for k in range(40)]
+    got = [tuple(x) for x in removal_digests(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert sorted(got, key=_ORDER) == sorted(brute_removed(docs, 100), key=_ORDER)
