@@ -82,7 +82,7 @@ def test_limits_of_several_values_still_join(spark, tables):
     assert got == {k: sum(meets("gt", x, lo) and meets("lt", w, hi) for _, _, x, w in rows) for k, _, lo, hi in parents}
 
 
-@pytest.mark.parametrize("name", ["join_theta"])
+@pytest.mark.parametrize("name", ["join_theta", "agg_unrelated"])
 def test_registered_queries_make_no_pairs(spark, tmp_path, name):
     """All in one nation: the pairs of 6,000 customers, or of them and 6,000 suppliers, are 36 million."""
     n = 6000
