@@ -5,9 +5,11 @@ import operator
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.expr import agg, parent, ref
 from tessera.plans.catalog_queries import QUERIES
+from tessera.plans.feature_queries import QUERIES as FEATURES
 from tessera.plans.query import Query
 from tessera.schema import Attribute, Domain, Relationship, Resource
 from tessera.sources.engine import Engine
@@ -98,3 +100,31 @@ def test_registered_queries_make_no_pairs(spark, tmp_path, name):
         assert all((r.n, r.richest, r.every) == (n, 10.0 * (n - 1) if k < n - 1 else None, n) for k, r in got.items()) and len(got) == n
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Join" in line and (" > " in line or " < " in line)]
+
+
+def test_unrelated_lists_are_made_once_for_each_group(spark, tmp_path):
+    """One join for all kinds of aggregates of the same rows, and the list's text below it."""
+    r = random.Random(5)
+    customers = [(k, "c", r.randrange(5), 1.0, "B") for k in range(300)]
+    suppliers = [(k, f"s{k}", r.randrange(4), float(r.randrange(90))) for k in range(200)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    df = FEATURES["agg_unrelated_kinds"](spark, str(tmp_path))
+    got = {x.c_custkey: x for x in df.collect()}
+    assert len(got) == len(customers) and any(c[2] == 4 for c in customers)
+    for k, _, nation, *_ in customers:
+        of, x = [s for s in suppliers if s[2] == nation], got[k]
+        assert (x.n, x.e, x.f, x.xs) == (len(of), bool(of), of[0][1] if of else None, ",".join(str(s[0]) for s in reversed(of)))
+        money = [s[3] for s in of]
+        assert (x.s, x.lo, x.hi) == ((sum(money), min(money), max(money)) if of else (None, None, None))
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [i for i, line in enumerate(plan) if "Join " in line]
+    assert len(joins) == 1 and [i for i, line in enumerate(plan) if "array_join" in line] and all(i > joins[0] for i, line in enumerate(plan) if "array_join" in line)
+
+
+def test_a_function_of_a_list_sees_empty_ones(spark, tables):
+    parents, rows, frames = tables
+    q = query(spark, frames, ref("g") == parent("g"))
+    got = {x.id: (x.n, x.few) for x in q.aggregate(n=agg("list", "near", "w", then=F.size), few=agg("list", "near", "w", where=ref("w") > 4, then=F.size)).select("id").to_df().collect()}
+    near = {k: [w for _, h, _, w in rows if g is not None and h == g and w is not None] for k, g, *_ in parents}
+    assert got == {k: (len(ws), sum(w > 4 for w in ws)) for k, ws in near.items()}
